@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("stats", "indicators", "recursive", "filters", "options", "joins", "aggregates", "reshape")
+MODULES = ("stats", "indicators", "recursive", "filters", "options", "joins", "aggregates", "reshape", "evidence", "performance")
 
 
 def collect() -> tuple[dict, dict]:
