@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[p
 def byte_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
     """Slices whose texts in ``column`` hold about ``most`` bytes; a longer text comes alone."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > most:
