@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -21,3 +24,14 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that driver and executors share; a temporary one only where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        context = spark.sparkContext
+        if not context._jsc.sc().getCheckpointDir().isDefined():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="fathom-"))
+        base = context._jsc.sc().getCheckpointDir().get()
+    return f"{base.rstrip('/')}/fathom-{tag}-{uuid.uuid4().hex[:12]}"

@@ -1 +1 @@
-
+"""Structured Streaming forms of ingestion, bars, quality and state."""
