@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fathom.functions import scalars as sc
+from fathom.functions import udf
+from fathom.sources import readers
 
-from .base import Registry, r, rounded, table
+from .base import BARS, Registry, bars, r, rounded, table
 
 query = Registry()
 
@@ -98,4 +100,27 @@ def fuzzy_match(spark, d):
     return e.groupBy("user_id").agg(F.min_by("event_id", F.struct(-sc.similar(F.col("event_type"), F.lit("clik")), "event_id")).alias("nearest"))
 
 
+@query(f"""WITH s AS (SELECT event_type, list_sort(list(value)) AS v FROM events GROUP BY 1) SELECT event_type, {r("list_avg(v[len(v) // 10 + 1:len(v) - len(v) // 10])", "m")} FROM s""")
+def udaf_trimmed_mean(spark, d):
+    return rounded(table(spark, d, "events").groupBy("event_type").agg(udf.trimmed_mean("value").alias("m")))
+
+
+@query("SELECT r_regionkey, CAST(n AS INT) AS n, n * 4 AS start, least((n + 1) * 4, r_regionkey * 3 + 1) AS stop FROM region, (SELECT unnest(range(10)) AS n) WHERE n * 4 < r_regionkey * 3 + 1")
+def udtf_chunks(spark, d):
+    udf.register(spark)
+    return spark.sql("SELECT r_regionkey, n, start, stop FROM {t}, LATERAL chunks(0, r_regionkey * 3 + 1, 4)", t=table(spark, d, "region"))
+
+
+@query(f"WITH {BARS} SELECT symbol, ts, {r('(high + low + close) / 3', 'typical_price')} FROM bars")
+def registered_column(spark, d):
+    return rounded(udf.apply(bars(spark, d), "typical_price").select("symbol", "ts", "typical_price"))
+
+
+@query("SELECT page_id, 0 AS tables FROM pages WHERE html NOT LIKE '%<table%'")
+def html_table_scan(spark, d):
+    pages = table(spark, d, "pages")
+    found = readers.html_tables(pages, "page_id", "html").groupBy("page_id").agg(F.count_distinct("table").cast("int").alias("tables"))
+    return pages.select("page_id").join(found, "page_id", "left").select("page_id", F.coalesce("tables", F.lit(0)).alias("tables")).where("tables = 0")
+
+
 QUERIES, SQL = query.queries, query.sql

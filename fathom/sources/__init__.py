@@ -1 +1 @@
-
+"""Sources and sinks: declared schemas in, lazy DataFrames out."""
