@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUILDERS: dict[str, Callable[..., Column]] = {}
 
@@ -38,7 +39,7 @@ def mid(bid: str = "bid", ask: str = "ask") -> Column:
     return (F.col(bid) + F.col(ask)) / 2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def trimmed_mean(x: pd.Series) -> float:
     """Mean without the tenth at either end: a UDAF that no built-in gives."""
     v = np.sort(x.dropna().to_numpy(float))
@@ -46,7 +47,7 @@ def trimmed_mean(x: pd.Series) -> float:
     return float(v[k : len(v) - k].mean()) if len(v) else float("nan")
 
 
-@F.udtf(returnType="n int, start bigint, stop bigint")
+@F.udtf(returnType=T.StructType([T.StructField("n", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
 class Chunks:
     """``[start, stop)`` pieces of at most ``size``."""
 

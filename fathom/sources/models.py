@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+KINDS = {"string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "map<string,string>": T.MapType(T.StringType(), T.StringType())}
+
+
 def schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
+    """A schema from ``name kind`` pairs; needs no session, unlike Spark's own parser."""
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in (f.split(" ") for f in text.split(", "))])
 
 
 MODELS = {
