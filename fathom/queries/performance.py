@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fathom.functions.windows import ordered
@@ -103,4 +104,17 @@ def shock_grid(spark, d):
     return rounded(pf.shocks(w, w.select("symbol", F.lit(1.5).alias("beta")), [-0.2, -0.1, 0.1], 2.0, 0.03))
 
 
+@query()
+def max_sharpe_weights(spark, d):
+    """Greatest Sharpe ratio with at most two fifths in one symbol, from aggregated means and covariances."""
+    x = rets(spark, d)
+    mean = {r["symbol"]: r["m"] for r in x.groupBy("symbol").agg(F.avg("ret").alias("m")).collect()}
+    names = sorted(mean)
+    cov = np.zeros((len(names), len(names)))
+    for r in pf.covariances(x).collect():
+        cov[names.index(r["a"]), names.index(r["b"])] = r["cov"]
+    w = pf.max_sharpe(np.array([mean[n] for n in names]), cov, 0.0, 0.4)
+    return spark.createDataFrame([(n, float(v)) for n, v in zip(names, w, strict=True)], "symbol string, weight double")
+
+
 QUERIES, SQL = query.queries, query.sql

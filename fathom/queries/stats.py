@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fathom.functions import blocks
 from fathom.functions.windows import ordered, so_far
 from fathom.operators import statistics as st
 
@@ -139,4 +140,17 @@ def shift_diff_change(spark, d):
     return rounded(bars(spark, d).select("symbol", "ts", (x / before - 1).alias("ret"), (x - before).alias("diff"), F.row_number().over(w).alias("ordinal"), F.max("close").over(so_far(w)).alias("peak"), n.alias("n")))
 
 
+@query(f"""WITH {BARS} SELECT symbol, ts, CASE WHEN count(*) OVER w = 20 THEN round(avg(close) OVER w, 6) + 0.0 END AS mean, CASE WHEN count(*) OVER w = 20 THEN round(max(high) OVER w, 6) + 0.0 END AS top FROM bars
+    WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""")
+def rolling_in_blocks(spark, d):
+    out = blocks.rolling(bars(spark, d), KEYS, TS, F.to_date("ts"), 20, {"mean": F.avg("close"), "top": F.max("high")}, rows=50)
+    return rounded(out.select("symbol", "ts", "mean", "top"))
+
+
+@query("SELECT event_id, CAST(sum(user_id) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM events")
+def running_in_blocks(spark, d):
+    out = blocks.running_sum(table(spark, d, "events"), ["event_type"], ["ts", "event_id"], F.to_date("ts"), F.col("user_id"), "total")
+    return out.select("event_id", "total")
+
+
 QUERIES, SQL = query.queries, query.sql
