@@ -12,7 +12,7 @@ def ohlcv(df: DataFrame, by: str, ts: str, value: str, tie: str, unit: str = "ho
     First and last go by time, ties by ``tie``. One partial aggregation before the shuffle.
     """
     at = F.struct(F.col(ts), F.col(tie))
-    return df.groupBy(F.col(by).alias("symbol"), F.date_trunc(unit, ts).alias("ts")).agg(
+    return df.groupBy(F.col(by).alias("symbol"), F.date_trunc(unit, ts).cast("timestamp_ntz").alias("ts")).agg(
         F.min_by(value, at).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),

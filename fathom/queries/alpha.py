@@ -28,7 +28,7 @@ PANEL = """b AS (SELECT p_brand AS instrument_id, CAST(l_shipdate AS DATE) AS se
         FROM (SELECT DISTINCT instrument_id FROM b) i CROSS JOIN cal LEFT JOIN b USING (instrument_id, session))"""
 
 
-@query(f"WITH {PANEL} SELECT instrument_id, session, slot, eligible, present, known, {r('price')}, {r('open')} FROM p")
+@query(f"WITH {PANEL} SELECT instrument_id, session, CAST(slot AS INT) AS slot, eligible, present, known, {r('price')}, {r('open')} FROM p")
 def panel_register(spark, d):
     return rounded(panel(spark, d).select("instrument_id", "session", "slot", "eligible", "present", "known", "price", "open"))
 

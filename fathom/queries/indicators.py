@@ -106,7 +106,7 @@ def ichimoku_future(spark, d):
 @query(f"""WITH {BARS}, s AS (SELECT *, coalesce(CAST(sign(close - lag(close, 4) OVER w) AS INT), 0) AS g FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY ts)),
     c AS (SELECT *, CASE WHEN g IS DISTINCT FROM lag(g) OVER (PARTITION BY symbol ORDER BY ts) THEN 1 ELSE 0 END AS n FROM s),
     i AS (SELECT *, sum(n) OVER (PARTITION BY symbol ORDER BY ts) AS island FROM c), k AS (SELECT *, row_number() OVER (PARTITION BY symbol, island ORDER BY ts) AS run FROM i)
-    SELECT symbol, ts, CASE WHEN g > 0 THEN run ELSE 0 END AS td_seq_up, CASE WHEN g < 0 THEN run ELSE 0 END AS td_seq_dn FROM k""")
+    SELECT symbol, ts, CAST(CASE WHEN g > 0 THEN run ELSE 0 END AS INT) AS td_seq_up, CAST(CASE WHEN g < 0 THEN run ELSE 0 END AS INT) AS td_seq_dn FROM k""")
 def demark(spark, d):
     return out(ta.demark(bars(spark, d)), "td_seq_up", "td_seq_dn")
 

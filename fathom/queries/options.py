@@ -10,7 +10,7 @@ from .base import Registry, r, rounded, table
 
 query = Registry()
 CHAIN = """chain AS (SELECT 'U' || (p_partkey % 5) AS underlying, 'C' || p_partkey AS contract_symbol, DATE '2024-01-01' + CAST(p_partkey % 12 * 15 AS INT) AS expiration,
-    CAST(p_partkey % 12 * 15 AS INT) AS dte, 900.0 + p_size * 20.0 AS strike, CASE WHEN p_partkey % 2 = 0 THEN 'call' ELSE 'put' END AS option_type, CAST(1400.0 AS DOUBLE) AS price,
+    CAST(p_partkey % 12 * 15 AS INT) AS dte, CAST(900.0 + p_size * 20.0 AS DOUBLE) AS strike, CASE WHEN p_partkey % 2 = 0 THEN 'call' ELSE 'put' END AS option_type, CAST(1400.0 AS DOUBLE) AS price,
     p_retailprice / 100 AS bid, p_retailprice / 100 + 0.5 AS ask, p_partkey % 50 AS open_interest, p_partkey % 30 AS volume,
     CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 0.1 + (p_partkey % 40) / 100.0 END::DOUBLE AS iv, (CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE -1 END) * (p_partkey % 100) / 100.0 AS delta, (p_partkey % 7) / 1000.0 AS gamma
     FROM part)"""

@@ -11,7 +11,7 @@ from .base import DAILY, Registry, daily, r, rounded, table
 query = Registry()
 
 
-@query("SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, rank FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey * 10 + l_linenumber) AS rank FROM lineitem) WHERE rank <= 5")
+@query("SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey * 10 + l_linenumber) AS rank FROM lineitem) WHERE rank <= 5")
 def top_k_per_group(spark, d):
     df = table(spark, d, "lineitem").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     return rs.top_k(df, ["l_returnflag"], "l_extendedprice", "id", 5).select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", "rank")
@@ -37,7 +37,7 @@ def sort_category(spark, d):
     return table(spark, d, "orders").select("o_orderkey", rs.category_key("o_orderpriority", ["5-LOW", "3-MEDIUM", "1-URGENT"]).alias("place"))
 
 
-@query("SELECT r_name, row_number() OVER (ORDER BY r_name = 'EUROPE', r_name DESC) AS n FROM region")
+@query("SELECT r_name, CAST(row_number() OVER (ORDER BY r_name = 'EUROPE', r_name DESC) AS INT) AS n FROM region")
 def sort_total_last(spark, d):
     from pyspark.sql import Window
 

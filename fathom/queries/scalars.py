@@ -58,7 +58,7 @@ def json_functions(spark, d):
     return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"), F.get_json_object("props", "$.none").alias("missing"), F.size(F.json_object_keys("props")).cast("long").alias("n"), sc.canonical_json("event_id", "event_type").alias("j"))
 
 
-@query("SELECT vec_id, len(embedding) AS n, round(list_sum([x * x for x in embedding::DOUBLE[]]), 4) AS norm, round(list_max(embedding)::DOUBLE, 5) AS top, list_position(embedding, list_max(embedding)) AS place, round(list_sum((embedding::DOUBLE[])[1:8]), 4) AS head FROM embeddings")
+@query("SELECT vec_id, len(embedding) AS n, round(list_sum([x * x for x in embedding::DOUBLE[]]), 4) AS norm, round(list_max(embedding)::DOUBLE, 5) AS top, CAST(list_position(embedding, list_max(embedding)) AS BIGINT) AS place, round(list_sum((embedding::DOUBLE[])[1:8]), 4) AS head FROM embeddings")
 def array_functions(spark, d):
     e = F.col("embedding").cast("array<double>")
     plus = lambda a, x: a + x

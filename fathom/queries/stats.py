@@ -130,7 +130,7 @@ def rolling_four_quarters(spark, d):
     return rounded(st.rolling_sum(q, KEYS, ["quarter"], "value", 4), 2)
 
 
-@query(f"""WITH {BARS}, x AS (SELECT symbol, ts, close / lag(close) OVER w - 1 AS ret, close - lag(close) OVER w AS diff, row_number() OVER w AS ordinal, max(close) OVER w AS peak, count(*) OVER (PARTITION BY symbol) AS n
+@query(f"""WITH {BARS}, x AS (SELECT symbol, ts, close / lag(close) OVER w - 1 AS ret, close - lag(close) OVER w AS diff, CAST(row_number() OVER w AS INT) AS ordinal, max(close) OVER w AS peak, count(*) OVER (PARTITION BY symbol) AS n
     FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY ts))
     SELECT symbol, ts, {r("ret")}, {r("diff")}, ordinal, {r("peak")}, n FROM x""")
 def shift_diff_change(spark, d):
