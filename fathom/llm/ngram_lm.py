@@ -21,8 +21,8 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ U64 = np.uint64
 HASH_BITS, NEXT_BITS = 56, 40  # of a word's hash; of the part kept for a successor
 BEGIN, END = (1 << HASH_BITS) - 1, (1 << HASH_BITS) - 2  # context of the first word; token after the last word
 SHARD_BYTES = 24 << 20  # training text to a shard
-TASK_PAIRS, SCORE_BYTES = 3 << 20, 8 << 20
+TASK_PAIRS, SCORE_BYTES = 2 << 20, 4 << 20
 LOWEST = 8.0  # the smallest probability that a code can tell from none is 10 ** -LOWEST
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -82,7 +82,7 @@ def words_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and ends of a string column, nulls as empty."""
-    column = pa.compute.fill_null(column, "")
+    column = pc.fill_null(column, "")
     if pa.types.is_large_string(column.type):
         kind = np.int64
     else:
@@ -317,12 +317,20 @@ def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYT
         if kept:
             yield from flush()
 
-    def build(key, blocks):
-        path = f"{folder}/{int(key[0]):06d}-{uuid.uuid4().hex[:8]}.trie"
-        return pd.DataFrame([{"shard": int(key[0]), "path": path} | build_shard(list(blocks["block"]), path)])
-
     kinds = "shard int, path string, words long, tokens long, ones long, twos long, pairs long"
-    made = narrow.mapInArrow(local, "shard int, block binary").groupBy("shard").applyInPandas(build, kinds).collect()
+    arrow = to_arrow_schema(T._parse_datatype_string(kinds))
+
+    def build(batches):
+        shard, blocks = None, []  # a partition is a shard
+        for b in batches:
+            blocks += b.column(1).to_pylist()
+            shard = b.column(0)[0].as_py() if b.num_rows else shard
+        if blocks:
+            path = f"{folder}/{shard:06d}-{uuid.uuid4().hex[:8]}.trie"
+            made = build_shard(blocks, path)
+            yield as_batch(arrow, [shard], [path], *([made[k]] for k in arrow.names[2:]))
+
+    made = narrow.mapInArrow(local, "shard int, block binary").repartitionById(shards, "shard").mapInArrow(build, kinds).collect()
     paths: list[str | None] = [None] * shards
     for r in made:
         paths[r["shard"]] = r["path"]
