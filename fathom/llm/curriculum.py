@@ -16,7 +16,6 @@ from .common import written
 WEIGHTS, SHARE, EPOCHS = (3.0, 1.0, 2.0), 1.5, 2
 #: Knots (time, weight) by rank, repeating as the weights do; only their shape counts, not their height.
 SCHEDULES = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.5), (0.5, 1.5), (1.0, 0.5)))
-ROWS_PER_BUCKET = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,6 +24,11 @@ def order_key(ident: Column) -> Column:
     return F.coalesce(F.conv(F.substring(F.md5(ident.cast("string").cast("binary")), 1, 15), 16, 10).cast("long"), F.lit(0).cast("long"))
 
 
+def bucket_bits(rows: int) -> int:
+    """Bits of the hash that cut a source of so many rows into about as many buckets as each holds rows."""
+    return rows.bit_length() // 2
+
+
 def segments(knots: tuple[tuple[float, float], ...]) -> list[tuple[float, ...]]:
     """(t0, w0, slope, W0, W1) of each linear piece, weights scaled so that the whole integral is 1."""
     areas = [(t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in zip(knots, knots[1:], strict=False)]
@@ -79,7 +83,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = written(sources, "targets")
     # Each source's order is cut into buckets of the hash, so that no running sum goes over a whole source.
     most = sources.agg(F.max("n")).first()[0] or 0
-    bits = max(0, -(-most // ROWS_PER_BUCKET) - 1).bit_length()
+    bits = bucket_bits(most)
     known = F.broadcast(sources) if sources.count() <= 100_000 else sources
     placed = sized.join(known.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select("id", "size", "place", "source_size", "target", order_key(F.col("id")).alias("key"))
     placed = placed.withColumn("bucket", F.shiftright("key", 60 - bits))

@@ -64,9 +64,10 @@ def corpus(spark, n=400):
     return spark.createDataFrame([*rows, rows[3], rows[3]], "doc_id long, text string, source string, size int, target int"), [*rows, rows[3], rows[3]]
 
 
-@pytest.mark.parametrize("bucket", [20_000, 7])
-def test_mix_meets_its_targets(spark, monkeypatch, bucket):
-    monkeypatch.setattr(curriculum, "ROWS_PER_BUCKET", bucket)
+@pytest.mark.parametrize("bits", [None, 0, 7])
+def test_mix_meets_its_targets(spark, monkeypatch, bits):
+    if bits is not None:
+        monkeypatch.setattr(curriculum, "bucket_bits", lambda rows: bits)
     df, rows = corpus(spark)
     sizes, words = {}, [len((r[1] or "").split()) for r in rows]
     for r, n in zip(rows, words, strict=True):
