@@ -57,7 +57,7 @@ def frequencies(cleaned: str) -> np.ndarray:
     total = np.zeros(BUCKETS)
     for at in range(0, len(raw), BLOCK):
         total += np.bincount(buckets(raw[at : at + BLOCK]), minlength=BUCKETS)
-    return (total / total.sum()).astype(np.float32)
+    return (total / total.sum()).astype(np.float16)
 
 
 @dataclass
@@ -90,7 +90,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: list[str], seed: int = 7) -> Model:
-    """Train on rows of frequencies with their languages; a fifth is kept apart for calibration."""
+    """Train on rows of frequencies (16-bit floats) with their languages; a fifth is kept apart for calibration."""
     names = sorted(set(y))
     if not names:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
@@ -105,7 +105,7 @@ def fit(x: np.ndarray, y: list[str], seed: int = 7) -> Model:
         rate = RATE * (1 - epoch / EPOCHS)
         for at in range(0, len(used), MINI):
             rows = used[at : at + MINI]
-            xs = x[rows] * scale
+            xs = x[rows].astype(np.float32) * np.float32(scale)
             mean = xs @ e
             g = softmax(mean @ w + bias)
             g[np.arange(len(rows)), target[rows]] -= 1
@@ -116,7 +116,7 @@ def fit(x: np.ndarray, y: list[str], seed: int = 7) -> Model:
             e -= rate * (xs.T @ back)
     table = scale * (e @ w)
     part = held if len(held) >= 20 else order
-    z, t = x[part] @ table + bias, target[part]
+    z, t = x[part].astype(np.float32) @ table + bias, target[part]
     heat = min(np.geomspace(0.25, 8, 61), key=lambda k: -np.log(softmax(z / k)[np.arange(len(t)), t] + 1e-12).mean())
     p = softmax(z / heat)
     right = p.max(axis=1)[p.argmax(axis=1) == t]
@@ -146,9 +146,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             rows = [(lang, frequencies(c).tobytes()) for c, lang in zip(cleaned, b.column(1).to_pylist(), strict=True) if has_letter(c)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["lang", "x"])
 
-    rows = sorted((r["lang"], bytes(r["x"])) for r in known.where(keep).select("text", "lang").mapInArrow(vectors, "lang string, x binary").collect())
-    x = np.frombuffer(b"".join(v for _, v in rows), np.float32).reshape(-1, BUCKETS)
-    return fit(x, [name for name, _ in rows])
+    found = known.where(keep).select("text", "lang").mapInArrow(vectors, "lang string, x binary").toArrow()
+    names, column = found.column("lang").to_pylist(), found.column("x")
+    order = sorted(range(len(names)), key=lambda i: (names[i], column[i].as_buffer().to_pybytes()))
+    x = np.empty((len(order), BUCKETS), np.float16)
+    for at, i in enumerate(order):
+        x[at] = np.frombuffer(column[i].as_buffer(), np.float16)
+    return fit(x, [names[i] for i in order])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
