@@ -1,10 +1,12 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Tasks cut training texts into words by numpy alone, count (context, successor) pairs locally, and send
-compact sorted blocks to the shard of the context's hash. A shard's task merges its blocks into one file
-of the trie, which holds, for its contexts: their hashes, their counts as running sums, monotone pointers
-to their successors, the successors themselves (each relative to its context), all as Elias-Fano
-sequences, and 8-bit logarithms of the discounted probabilities and of the contexts' back-off weights.
+compact sorted blocks to the shard of the pair's hash, so that a very common context is spread over all
+shards. A shard's task merges its blocks, keeps the counted pairs in a file, and sends each context's sums
+to the shard of the context's hash. There the context level is built: hashes and counts (as running sums)
+in Elias-Fano sequences, and 8-bit logarithms of the back-off weights. With it the shards of pairs are finished:
+their contexts, monotone pointers to their successors, the successors themselves, each relative to its
+context, all Elias-Fano, and 8-bit logarithms of the discounted probabilities.
 
 For scoring, workers memory-map the files and look up each batch's distinct pairs: the context's place by
 its hash, then the successor relative to it. P(w | u) = p(u, w) + b(u) P(w), with each context's absolute
@@ -19,6 +21,7 @@ import json
 import struct
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import as_batch, byte_slices, scratch_path
+from .common import as_batch, byte_slices, scratch_path, written
 from .elias_fano import EliasFano
-from .storage import mapped, put
+from .storage import mapped, put, remove
 
 U64 = np.uint64
 HASH_BITS, NEXT_BITS = 56, 40  # of a word's hash; of the part kept for a successor
@@ -103,9 +106,15 @@ def pairs_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def shard_of(context: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of a context's sums, by ranges of its hash."""
     return ((context >> U64(HASH_BITS - 32)) * U64(shards) >> U64(32)).astype(np.int64)
 
 
+def pair_shard(context: np.ndarray, part: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of a pair, by a hash of both sides."""
+    return ((mixed(context ^ (part * U64(0x9E3779B97F4A7C15))) >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
+
+
 def planes(x: np.ndarray, width: int) -> bytes:
     """Bytes of equal weight together: they pack better."""
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
@@ -154,36 +163,69 @@ def code_of(p: np.ndarray) -> np.ndarray:
 DECODE = np.concatenate(([0.0], 10.0 ** ((np.arange(255) / 254 - 1) * LOWEST)))
 
 
-def build_shard(blocks: list[bytes], path: str) -> dict:
-    """Merge a shard's blocks, write its levels to ``path``, and return its sums."""
+def runs_of(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys starts, and the end of the last."""
+    return np.append(np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64), len(keys)).astype(np.int64)
+
+
+def merge_pairs(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, runs, successors, counts) of a shard's blocks, in order and each pair once."""
     parts = [from_block(b) for b in blocks]
-    contexts = np.concatenate([np.repeat(c, r.astype(np.int64)) for c, r, _, _ in parts])
-    following = np.concatenate([f for _, _, f, _ in parts])
+    names, rank = np.unique(np.concatenate([np.repeat(c, r.astype(np.int64)) for c, r, _, _ in parts]), return_inverse=True)
+    keys = (rank.astype(U64) << U64(NEXT_BITS)) | np.concatenate([f for _, _, f, _ in parts])
     counts = np.concatenate([n for _, _, _, n in parts]).astype(np.int64)
-    del parts
-    names, rank = np.unique(contexts, return_inverse=True)
-    del contexts
-    keys = (rank.astype(U64) << U64(NEXT_BITS)) | following
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    first = runs_of(keys)[:-1]
     keys, counts = keys[first], np.add.reduceat(counts, first)
-    rank = (keys >> U64(NEXT_BITS)).astype(np.int64)
-    starts = np.searchsorted(rank, np.arange(len(names) + 1))
-    sums = np.concatenate(([0], np.cumsum(np.add.reduceat(counts, starts[:-1]))))
-    total, kinds = np.diff(sums), np.diff(starts)
-    ones, twos = (np.add.reduceat((counts == k).astype(np.int64), starts[:-1]) for k in (1, 2))
-    discount = (ones + 1) / (ones + 2 * twos + 1)
+    runs = np.bincount((keys >> U64(NEXT_BITS)).astype(np.int64), minlength=len(names))
+    return names, runs, keys & U64((1 << NEXT_BITS) - 1), counts
+
+
+def sums_of(names: np.ndarray, runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Rows of (context, tokens, kinds, ones, twos) as 64-bit integers."""
+    starts = np.concatenate(([0], np.cumsum(runs)[:-1])).astype(np.int64)
+    ones, twos = (np.add.reduceat((counts == k).astype(np.int64), starts) for k in (1, 2))
+    return np.column_stack([names.astype(np.int64), np.add.reduceat(counts, starts), runs, ones, twos])
+
+
+def discounts(kinds: np.ndarray, ones: np.ndarray, twos: np.ndarray) -> np.ndarray:
+    """A context's absolute discount, by leaving one out."""
+    return (ones + 1) / (ones + 2 * twos + 1)
+
+
+def build_contexts(blocks: list[bytes], path: str) -> dict:
+    """Merge the sums of a shard's contexts, write the level to ``path``, and return the shard's own sums."""
+    rows = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.int64).reshape(-1, 5) for b in blocks])
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    first = runs_of(rows[:, 0])[:-1]
+    names = rows[first, 0].astype(U64)
+    total, kinds, ones, twos = (np.add.reduceat(rows[:, k], first) for k in range(1, 5))
+    discount = discounts(kinds, ones, twos)
+    arrays, sizes = levels(contexts=(names, 1 << HASH_BITS), sums=(np.concatenate(([0], np.cumsum(total))), int(total.sum()) + 1))
+    arrays |= {"back": code_of(discount * kinds / total), "discount": discount.astype(np.float32)}
+    real = names < U64(END)
+    put(path, file_of(arrays, sizes))
+    return {"words": int(real.sum()), "tokens": int(total.sum()), "ones": int((total[real] == 1).sum()), "twos": int((total[real] == 2).sum())}
+
+
+def build_pairs(names: np.ndarray, runs: np.ndarray, following: np.ndarray, counts: np.ndarray, total: np.ndarray, discount: np.ndarray, path: str) -> None:
+    """Write a shard's pairs to ``path``, with their contexts' totals and discounts."""
+    rank = np.repeat(np.arange(len(names)), runs)
+    keys = (rank.astype(U64) << U64(NEXT_BITS)) | following
+    starts = np.concatenate(([0], np.cumsum(runs)))
+    arrays, sizes = levels(contexts=(names, 1 << HASH_BITS), starts=(starts, int(starts[-1]) + 1), next=(keys, len(names) << NEXT_BITS))
+    put(path, file_of(arrays | {"p": code_of(np.maximum(counts - discount[rank], 0) / total[rank])}, sizes))
+
+
+def levels(**sequences: tuple[np.ndarray, int]) -> tuple[dict[str, np.ndarray], dict]:
+    """Arrays and sizes of Elias-Fano sequences, each given with its universe."""
     arrays, sizes = {}, {}
-    for name, values, universe in (("contexts", names, 1 << HASH_BITS), ("sums", sums, int(sums[-1]) + 1), ("starts", starts, int(starts[-1]) + 1), ("next", keys, len(names) << NEXT_BITS)):
+    for name, (values, universe) in sequences.items():
         ef = EliasFano.of(np.asarray(values, U64), universe)
         sizes[name] = (ef.n, ef.width)
         arrays |= {f"{name}.{k}": v for k, v in ef.arrays.items()}
-    arrays["p"] = code_of(np.maximum(counts - discount[rank], 0) / total[rank])
-    arrays["back"] = code_of(discount * kinds / total)
-    real = names < U64(END)
-    put(path, file_of(arrays, sizes))
-    return {"words": int(real.sum()), "tokens": int(total.sum()), "ones": int((total[real] == 1).sum()), "twos": int((total[real] == 2).sum()), "pairs": len(keys)}
+    return arrays, sizes
 
 
 def file_of(arrays: dict[str, np.ndarray], sizes: dict) -> list[bytes]:
@@ -199,36 +241,58 @@ def file_of(arrays: dict[str, np.ndarray], sizes: dict) -> list[bytes]:
     return [struct.pack("<Q", len(head)), head, *data]
 
 
-class Shard:
-    """A memory-mapped file of the trie."""
+class Level:
+    """A memory-mapped file of the trie: its Elias-Fano sequences and plain arrays by name."""
 
     def __init__(self, path: str):
         whole = mapped(path)
         (n,) = struct.unpack_from("<Q", whole)
         head = json.loads(whole[8 : 8 + n])
-        a = {name: np.frombuffer(whole, kind, size, 8 + n + at) for name, (at, size, kind) in head["places"].items()}
-        self.contexts, self.sums, self.starts, self.next = (EliasFano(*head["sizes"][k], {part: a[f"{k}.{part}"] for part in ("low", "high", "ones")}) for k in ("contexts", "sums", "starts", "next"))
-        self.p, self.back = a["p"], a["back"]
+        self.plain = {name: np.frombuffer(whole, kind, size, 8 + n + at) for name, (at, size, kind) in head["places"].items()}
+        self.ef = {k: EliasFano(*size, {part: self.plain[f"{k}.{part}"] for part in ("low", "high", "ones")}) for k, size in head["sizes"].items()}
 
     def context(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place or -1, count, back-off weight) of each context."""
-        place = self.contexts.find(hashes)
+        """(count or 0, back-off weight, discount) of each context."""
+        place = self.ef["contexts"].find(hashes)
         known = np.flatnonzero(place >= 0)
-        count, back = np.zeros(len(hashes), np.int64), np.ones(len(hashes))
+        count, back, discount = np.zeros(len(hashes), np.int64), np.ones(len(hashes)), np.zeros(len(hashes))
         at = place[known]
-        count[known] = (self.sums.access(at + 1) - self.sums.access(at)).astype(np.int64)
-        back[known] = DECODE[self.back[at]]
-        return place, count, back
-
-    def successor(self, place: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        """Discounted probabilities of the tokens after the contexts at ``place``; 0 if never seen."""
-        found = self.next.find((place.astype(U64) << U64(NEXT_BITS)) | (tokens >> U64(HASH_BITS - NEXT_BITS)))
-        return np.where(found >= 0, DECODE[self.p[np.maximum(found, 0)]] if len(self.p) else 0.0, 0.0)
+        count[known] = (self.ef["sums"].access(at + 1) - self.ef["sums"].access(at)).astype(np.int64)
+        back[known], discount[known] = DECODE[self.plain["back"][at]], self.plain["discount"][at]
+        return count, back, discount
+
+    def successor(self, contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Discounted probabilities of the tokens after the contexts; 0 if never seen."""
+        out = np.zeros(len(contexts))
+        place = self.ef["contexts"].find(contexts)
+        there = np.flatnonzero(place >= 0)
+        found = self.ef["next"].find((place[there].astype(U64) << U64(NEXT_BITS)) | (tokens[there] >> U64(HASH_BITS - NEXT_BITS)))
+        hit = found >= 0
+        out[there[hit]] = DECODE[self.plain["p"][found[hit]]]
+        return out
+
+    def followers(self, contexts: np.ndarray) -> np.ndarray:
+        """How many successors this shard has of each context, from its pointers."""
+        place = self.ef["contexts"].find(contexts)
+        at, starts = np.maximum(place, 0), self.ef["starts"]
+        return np.where(place >= 0, (starts.access(at + 1) - starts.access(at)).astype(np.int64), 0) if starts.n > 1 else np.zeros(len(contexts), np.int64)
+
+
+def look_up(contexts: np.ndarray, shards: int, level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(count, back-off weight, discount) of contexts in order, each from the level of its shard (None: there is none)."""
+    count, back, discount = np.zeros(len(contexts), np.int64), np.ones(len(contexts)), np.zeros(len(contexts))
+    home = shard_of(contexts, shards)
+    for k in np.unique(home).tolist():
+        if found := level(k):
+            own = slice(*np.searchsorted(home, [k, k + 1]))
+            count[own], back[own], discount[own] = found.context(contexts[own])
+    return count, back, discount
 
 
 @dataclass
 class Model:
-    paths: list[str | None]
+    contexts: list[str | None]  # files of the context level by shard
+    pairs: list[str | None]  # and of the pairs
     texts: int
     tokens: int
     words: int  # distinct, without the end
@@ -236,15 +300,15 @@ class Model:
     twos: int
 
     def __post_init__(self):
-        self.maps: dict[int, Shard] = {}
+        self.maps: dict[str, Level] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"maps": {}}
 
-    def shard(self, k: int) -> Shard | None:
-        if self.paths[k] and k not in self.maps:
-            self.maps[k] = Shard(self.paths[k])
-        return self.maps.get(k)
+    def level(self, path: str | None) -> Level | None:
+        if path and path not in self.maps:
+            self.maps[path] = Level(path)
+        return self.maps.get(path)
 
     @property
     def kinds(self) -> int:
@@ -255,22 +319,21 @@ class Model:
         before, tokens = pairs_of(hashes, counts)
         starts = np.concatenate(([0], np.cumsum(counts + 1)[:-1])).astype(np.int64)
         names, where = np.unique(np.concatenate((before, tokens)), return_inverse=True)
-        place, count, back = np.full(len(names), -1, np.int64), np.zeros(len(names), np.int64), np.ones(len(names))
-        home = shard_of(names, len(self.paths))
-        for k in np.unique(home).tolist():
-            if shard := self.shard(k):
-                own = slice(*np.searchsorted(home, [k, k + 1]))
-                place[own], count[own], back[own] = shard.context(names[own])
+        count, back, _ = look_up(names, len(self.contexts), lambda k: self.level(self.contexts[k]))
+        seen = count > 0
         count[names == U64(END)] = self.texts
         u, w = where[: len(before)], where[len(before) :]
         pairs, at = np.unique((u.astype(U64) << U64(32)) | w.astype(U64), return_inverse=True)
         pu, pw = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
         p = np.zeros(len(pairs))
-        for k in np.unique(home[pu]).tolist():
-            own = np.arange(*np.searchsorted(home[pu], [k, k + 1]))
-            own = own[(place[pu[own]] >= 0) & (count[pw[own]] > 0)]
-            if len(own):
-                p[own] = self.shard(k).successor(place[pu[own]], names[pw[own]])
+        tried = np.flatnonzero(seen[pu] & (count[pw] > 0))
+        home = pair_shard(names[pu[tried]], names[pw[tried]] >> U64(HASH_BITS - NEXT_BITS), len(self.pairs))
+        order = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[order], np.arange(len(self.pairs) + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            if level := self.level(self.pairs[k]):
+                own = tried[order[cuts[k] : cuts[k + 1]]]
+                p[own] = level.successor(names[pu[own]], names[pw[own]])
         p += back[pu] * self.alone(count)[pw]
         base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
         known = np.add.reduceat((count[w] > 0).astype(np.int64), starts)
@@ -297,15 +360,14 @@ def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYT
 
         def flush():
             names, following, counts = counted(np.concatenate([b for b, _ in kept]), np.concatenate([t for _, t in kept]))
-            first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-            runs = np.diff(np.append(first, len(names)))
-            home = shard_of(names[first], shards)
-            cuts = np.searchsorted(home, np.arange(shards + 1))
-            ends = np.append(first, len(names))
+            home = pair_shard(names, following, shards)
+            order = np.argsort(home, kind="stable")
+            names, following, counts = names[order], following[order], counts[order]
+            cuts = np.searchsorted(home[order], np.arange(shards + 1))
             for k in np.flatnonzero(np.diff(cuts)).tolist():
-                a, b = cuts[k], cuts[k + 1]
-                part = slice(ends[a], ends[b])
-                block = to_block(names[first[a:b]], runs[a:b], following[part], counts[part])
+                part = slice(cuts[k], cuts[k + 1])
+                ends = runs_of(names[part])
+                block = to_block(names[part][ends[:-1]], np.diff(ends), following[part], counts[part])
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([block], pa.binary())], ["shard", "block"])
 
         for b in byte_slices(batches, 0, SCORE_BYTES):
@@ -317,26 +379,59 @@ def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYT
         if kept:
             yield from flush()
 
-    kinds = "shard int, path string, words long, tokens long, ones long, twos long, pairs long"
-    arrow = to_arrow_schema(T._parse_datatype_string(kinds))
-
-    def build(batches):
-        shard, blocks = None, []  # a partition is a shard
+    def gathered(batches):
+        """(shard, blocks) of a partition, which is a shard."""
+        shard, blocks = None, []
         for b in batches:
             blocks += b.column(1).to_pylist()
             shard = b.column(0)[0].as_py() if b.num_rows else shard
+        return shard, blocks
+
+    def merge(batches):
+        shard, blocks = gathered(batches)
+        if not blocks:
+            return
+        names, runs, following, counts = merge_pairs(blocks)
+        path = f"{folder}/counts-{shard:06d}-{uuid.uuid4().hex[:8]}"
+        put(path, [to_block(names, runs, following, counts)])
+        rows = sums_of(names, runs, counts)
+        cuts = np.searchsorted(shard_of(names, shards), np.arange(shards + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            block = zstandard.ZstdCompressor(level=1).compress(rows[cuts[k] : cuts[k + 1]].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([block], pa.binary()), pa.array([shard], pa.int32()), pa.array([path])], ["shard", "block", "from", "path"])
+
+    def build(batches):
+        shard, blocks = gathered(batches)
         if blocks:
-            path = f"{folder}/{shard:06d}-{uuid.uuid4().hex[:8]}.trie"
-            made = build_shard(blocks, path)
+            path = f"{folder}/contexts-{shard:06d}-{uuid.uuid4().hex[:8]}.trie"
+            made = build_contexts(blocks, path)
             yield as_batch(arrow, [shard], [path], *([made[k]] for k in arrow.names[2:]))
 
-    made = narrow.mapInArrow(local, "shard int, block binary").repartitionById(shards, "shard").mapInArrow(build, kinds).collect()
-    paths: list[str | None] = [None] * shards
+    def finish(batches):
+        level = cache(Level)
+        for b in batches:
+            for shard, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                names, runs, following, counts = from_block(bytes(mapped(source)))
+                total, _, discount = look_up(names, shards, lambda k: level(contexts[k]) if contexts[k] else None)
+                path = f"{folder}/pairs-{shard:06d}-{uuid.uuid4().hex[:8]}.trie"
+                build_pairs(names, runs.astype(np.int64), following, counts.astype(np.int64), total, discount, path)
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([path]), pa.array([source])], ["shard", "path", "source"])
+
+    sums = "shard int, path string, words long, tokens long, ones long, twos long"
+    arrow = to_arrow_schema(T._parse_datatype_string(sums))
+    merged = written(narrow.mapInArrow(local, "shard int, block binary").repartitionById(shards, "shard").mapInArrow(merge, "shard int, block binary, from int, path string"), "sums")
+    made = merged.select("shard", "block").repartitionById(shards, "shard").mapInArrow(build, sums).collect()
+    contexts: list[str | None] = [None] * shards
     for r in made:
-        paths[r["shard"]] = r["path"]
+        contexts[r["shard"]] = r["path"]
+    sources = merged.select(F.col("from").alias("shard"), "path").distinct()
+    pairs: list[str | None] = [None] * shards
+    for r in sources.repartitionById(shards, "shard").mapInArrow(finish, "shard int, path string, source string").collect():
+        pairs[r["shard"]] = r["path"]
+        remove(r["source"])
     ends = [rows] if rows else []
     total = {k: sum(r[k] for r in made) for k in ("tokens", "words", "ones", "twos")}
-    return Model(paths, rows, total["tokens"], total["words"], total["ones"] + ends.count(1), total["twos"] + ends.count(2))
+    return Model(contexts, pairs, rows, total["tokens"], total["words"], total["ones"] + ends.count(1), total["twos"] + ends.count(2))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

@@ -30,6 +30,15 @@ def put(path: str, data: list[bytes]) -> None:
     fs.move(other, target)
 
 
+def remove(path: str) -> None:
+    """Delete a file that nothing reads any more."""
+    if local := local_path(path):
+        os.remove(local)
+        return
+    fs, target = pafs.FileSystem.from_uri(path)
+    fs.delete_file(target)
+
+
 def mapped(path: str) -> mmap.mmap:
     """A read-only memory map. Where the folder is no plain path, of a local copy that goes with the map."""
     if local := local_path(path):

@@ -268,6 +268,15 @@ def test_ngram_model_equals_brute_force(spark, shard_bytes):
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(out, abs=0.035 * n)
 
 
+def test_a_common_context_is_spread(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"the w{rng.randrange(3000)}" for _ in range(50)) for _ in range(60)]
+    model = ngram_lm.learn(docs(spark, texts), shard_bytes=4000)
+    the = ngram_lm.words_of(*ngram_lm.buffers(pa.array(["the"])))[0]
+    held = [int(model.level(p).followers(the)[0]) for p in model.pairs]
+    assert len(held) > 5 and min(held) > 0 and sum(held) == len({w for t in texts for w in t.split()} - {"the"})
+
+
 def test_ngram_model_of_nothing(spark):
     model = ngram_lm.learn(docs(spark, []))
     r = ngram_lm.score(docs(spark, ["a b"]), model).first()
