@@ -6,6 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from fathom.llm import chat, curriculum, queries, url_filter, warc
@@ -191,6 +192,20 @@ def test_pipeline_of_nothing(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
+@pytest.mark.parametrize("clash", [("Score", "accepted", "i", "version"), ("body", "lang_pred", "component_id", "row"), ("id", "words", "source_size", "c1")])
+def test_pipeline_stages_keep_clashing_columns(spark, clash):
+    """Columns named like those that the stages work with neither stop a stage nor change."""
+    plain = small(spark)
+    docs = plain.select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in clash))
+    for _, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in stage(spark, plain, SF).collect()}
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in rows for c in clash)
+    assert pipeline.mix_sources(spark, docs, SF).columns == pipeline.mix_sources(spark, plain, SF).columns
+
+
 def test_pipeline_stages_after_language_equal_sql(spark):
     """Decontamination and mixing of the stages' own inputs, by SQL over the same rows."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
