@@ -321,14 +321,16 @@ def fib(df: DataFrame, target: str = "close", period: int = 120) -> DataFrame:
 
 
 def _log(a: str, b: str) -> Column:
-    return F.ln(F.col(a) / F.col(b))
+    return F.ln(F.try_divide(a, b))
 
 
 def volatility(df: DataFrame, model: str, window: int = 30, periods: int = 252) -> DataFrame:
     """Annualised realised volatility, null until a window is full: std, parkinson, garman_klass,
-    hodges_tompkins, rogers_satchell or yang_zhang (with sums of squares, not centred variances)."""
+    hodges_tompkins, rogers_satchell or yang_zhang (with sums of squares, not centred variances).
+
+    A ratio to a price of zero has no logarithm: windows that hold such a bar are not full."""
     w = ordered(BY, TS)
-    df = df.withColumns({"_c": F.ln(F.col("close") / F.lag("close").over(w)), "_o": F.ln(F.col("open") / F.lag("close").over(w))})
+    df = df.withColumns({"_c": F.ln(F.try_divide(F.col("close"), F.lag("close").over(w))), "_o": F.ln(F.try_divide(F.col("open"), F.lag("close").over(w)))})
     hl, co = _log("high", "low"), _log("close", "open")
     ho, lo = _log("high", "open"), _log("low", "open")
     rs = ho * (ho - co) + lo * (lo - co)
@@ -355,7 +357,7 @@ CONE_WINDOWS = (3, 10, 30, 60, 90, 120, 150, 180, 210, 240, 300, 360)
 def cones(df: DataFrame, lower: float = 0.25, upper: float = 0.75, periods: int = 252, windows: Sequence[int] = CONE_WINDOWS) -> DataFrame:
     """Per window length: min, quantiles, median, max and last of realised volatility. One pass makes all windows."""
     w = ordered(BY, TS)
-    base = df.select(*BY, "ts", F.ln(F.col("close") / F.lag("close").over(w)).alias("_c"))
+    base = df.select(*BY, "ts", F.ln(F.try_divide(F.col("close"), F.lag("close").over(w))).alias("_c"))
     every = F.array(*(F.struct(F.lit(n).alias("window"), (full(F.stddev_samp("_c"), "_c", w, n) * math.sqrt(periods)).alias("v")) for n in windows))
     long = base.withColumn("_all", every).select(*BY, "ts", F.inline("_all")).where("v IS NOT NULL")
     agg = long.groupBy(*BY, "window").agg(F.min("v").alias("min"), F.percentile("v", [lower, 0.5, upper]).alias("q"), F.max("v").alias("max"), F.max_by("v", "ts").alias("realized"))
@@ -372,10 +374,10 @@ def relative_rotation(df: DataFrame, benchmark: str, target: str = "close", long
     """
     at = F.max(F.when(F.col("symbol") == benchmark, F.col(target))).over(Window.partitionBy(*TS))
     w = ordered(BY, TS)
-    ratio = df.withColumn("_b", at).where(F.col("_b").isNotNull() & (F.col("symbol") != benchmark)).select("symbol", "ts", (F.col(target) / F.col("_b") * 100).alias("ratio"))
+    ratio = df.withColumn("_b", at).where(F.col("_b").isNotNull() & (F.col("symbol") != benchmark)).select("symbol", "ts", (F.try_divide(target, "_b") * 100).alias("ratio"))
 
     def change(n: int) -> Column:
-        return F.ln(F.col("ratio") / F.lag("ratio", n).over(w) + 1e-10)
+        return F.ln(F.try_divide(F.col("ratio"), F.lag("ratio", n).over(w)) + 1e-10)
 
     moved = ratio.withColumn("momentum", change(long) - change(short)).where("momentum IS NOT NULL")
     part = Window.partitionBy(*BY)

@@ -154,8 +154,10 @@ def fibonacci(spark, d):
     return rounded(ta.fib(bars(spark, d)))
 
 
-BASE = f"""{BARS}, c AS (SELECT *, ln(close / lag(close) OVER w) AS c, ln(open / lag(close) OVER w) AS o, ln(high / low) AS hl, ln(close / open) AS co, ln(high / open) AS ho, ln(low / open) AS lo
-    FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY ts)), t AS (SELECT *, ho * (ho - co) + lo * (lo - co) AS rs, CASE WHEN c IS NOT NULL THEN ho * (ho - co) + lo * (lo - co) END AS rs2 FROM c)"""
+# A price of zero has no logarithm; DuckDB gives an infinite one, which a rolling window must not take in.
+BASE = f"""{BARS}, z AS (SELECT symbol, ts, nullif(open, 0) AS open, nullif(high, 0) AS high, nullif(low, 0) AS low, nullif(close, 0) AS close FROM bars),
+    c AS (SELECT *, ln(close / lag(close) OVER w) AS c, ln(open / lag(close) OVER w) AS o, ln(high / low) AS hl, ln(close / open) AS co, ln(high / open) AS ho, ln(low / open) AS lo
+    FROM z WINDOW w AS (PARTITION BY symbol ORDER BY ts)), t AS (SELECT *, ho * (ho - co) + lo * (lo - co) AS rs, CASE WHEN c IS NOT NULL THEN ho * (ho - co) + lo * (lo - co) END AS rs2 FROM c)"""
 K = 0.34 / (1.34 + 31 / 29)
 VOLATILITY = {
     "std": f"{over('stddev_samp(c)', 30, 'c')} * sqrt(252)",
@@ -175,7 +177,7 @@ for _model, _sql in VOLATILITY.items():
 CONES = " UNION ALL ".join(f"SELECT symbol, ts, {n} AS win, {over('stddev_samp(c)', n, 'c')} * sqrt(252) AS v FROM c" for n in ta.CONE_WINDOWS)
 
 
-@query(f"""WITH {BARS}, c AS (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY ts)) AS c FROM bars), v AS ({CONES})
+@query(f"""WITH {BARS}, c AS (SELECT *, ln(nullif(close, 0) / lag(nullif(close, 0)) OVER (PARTITION BY symbol ORDER BY ts)) AS c FROM bars), v AS ({CONES})
     SELECT symbol, win AS "window", {r("last(v ORDER BY ts)", "realized")}, {r("min(v)", "min")}, {r("quantile_cont(v, 0.25)", "lower")}, {r("quantile_cont(v, 0.5)", "median")}, {r("quantile_cont(v, 0.75)", "upper")}, {r("max(v)", "max")}
     FROM v WHERE v IS NOT NULL GROUP BY 1, 2""")
 def volatility_cones(spark, d):

@@ -122,3 +122,12 @@ def test_sets_and_pages(spark):
     assert {(r["id"], r["side"]) for r in rs.same_members(a, b).collect()} == {(0, "left"), (1, "left"), (5, "right"), (6, "right")}
     assert rs.same_members(a, a).isEmpty()
     assert [r["id"] for r in rs.page_after(a, "id", 1, 2).collect()] == [2, 3]
+
+
+@pytest.mark.parametrize("model", ["std", "parkinson", "garman_klass", "hodges_tompkins", "rogers_satchell", "yang_zhang"])
+def test_volatility_of_a_zero_price(spark, model):
+    """Windows that hold a bar whose low and close are zero are not full; the others have a value."""
+    bars = [("a", i, 10.0 + i % 3, 12.0 + i % 3, 0.0 if i == 12 else 9.0 + i % 2, 0.0 if i == 12 else 10.5 + i % 2) for i in range(30)]
+    df = spark.createDataFrame(bars, "symbol string, ts int, open double, high double, low double, close double")
+    got = {r["ts"]: r[f"vol_{model}"] for r in ta.volatility(df, model, 5).collect()}
+    assert len(got) == 30 and got[11] > 0 and got[29] > 0 and got[12] is None and got[16] is None
