@@ -215,3 +215,33 @@ def test_pipeline_stages_after_language_equal_sql(spark):
     assert {r["doc_id"] for r in pipeline.drop_contaminated(spark, docs, SF).collect()} == clean
     taken = dict(con.sql(f"SELECT doc_id, taken FROM ({queries.curriculum_sql()}) WHERE taken > 0").fetchall())
     assert {r["doc_id"]: r["taken"] for r in pipeline.mix_sources(spark, docs, SF).collect()} == taken
+
+
+def test_pipeline_near_duplicates_reach_similarity(spark):
+    """The stage against all pairs: five-word shingles, similarity 0.8."""
+    from itertools import combinations
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = [f"w{i}" for i in range(200)]
+    far = [(900_000 + i, " ".join([*words[: 20 * i], "other", *words[20 * i + 1 :]]), "en", "src0", 1) for i in range(1, 9)]
+    docs = docs.unionByName(spark.createDataFrame(far, docs.schema))
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+
+    def grams(text):
+        w = text.encode().lower().split()
+        return frozenset(b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets, parent = [grams(t) for _, t in rows], list(range(len(rows)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j]) if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j])) else 0
+        if sets[i] == sets[j] or 10 * both >= 8 * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((top(i), top(j)))
+            parent[b] = a
+    stage = dict(pipeline.STAGES)["near_duplicates"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, SF).collect()) == [rows[i][0] for i in range(len(rows)) if top(i) == i]
