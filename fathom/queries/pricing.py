@@ -41,9 +41,16 @@ def implied_volatility(spark, d):
     return rounded(pr.with_implied_vol(theo).select("contract_symbol", "implied_vol"), 3)
 
 
+@query()
+def implied_volatility_whole(spark, d):
+    """All quoted contracts; null where no volatility gives the price."""
+    theo = pr.black_scholes(quoted(spark, d)).withColumn("price", F.col("theo"))
+    return pr.with_implied_vol(theo).select("contract_symbol", "implied_vol")
+
+
 @query()
 def american_options(spark, d):
-    return pr.with_american(quoted(spark, d).where("option_type = 'put'")).select("contract_symbol", "american")
+    return pr.with_american(quoted(spark, d)).select("contract_symbol", "american")
 
 
 @query()

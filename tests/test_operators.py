@@ -131,3 +131,29 @@ def test_volatility_of_a_zero_price(spark, model):
     df = spark.createDataFrame(bars, "symbol string, ts int, open double, high double, low double, close double")
     got = {r["ts"]: r[f"vol_{model}"] for r in ta.volatility(df, model, 5).collect()}
     assert len(got) == 30 and got[11] > 0 and got[29] > 0 and got[12] is None and got[16] is None
+
+
+def test_every_quoted_contract_is_priced_and_solved(spark):
+    """Calls as puts, and contracts far from the money; the volatility against a plain bisection."""
+    from fathom.operators import pricing as pr
+    from fathom.queries import pricing as qp
+
+    d = "/root/testdata/sf0.001"
+    quoted = pr.black_scholes(qp.quoted(spark, d)).toPandas().set_index("contract_symbol").sort_index()
+    american = qp.QUERIES["american_options"](spark, d).toPandas().set_index("contract_symbol").sort_index()
+    assert list(american.index) == list(quoted.index) and set(quoted["option_type"]) == {"call", "put"}
+    assert (american["american"] >= quoted["theo"] - 0.5).all()
+    got = qp.QUERIES["implied_volatility_whole"](spark, d).toPandas().set_index("contract_symbol").sort_index()["implied_vol"]
+    assert list(got.index) == list(quoted.index) and (abs(quoted["strike"] / quoted["spot"] - 1) >= 0.1).any()
+    for name, q in quoted.iterrows():
+        price = lambda v, q=q: pr.bs_price(*(np.array([x]) for x in (q["spot"], q["strike"], q["years"], q["rate"], q["dividend"], v)), 1.0 if q["option_type"] == "call" else -1.0)[0][0]
+        lo, hi = 1e-6, 5.0
+        if not (q["theo"] > 0 and price(lo) <= q["theo"] <= price(hi)):
+            assert np.isnan(got[name])
+            continue
+        for _ in range(80):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if price(mid) < q["theo"] else (lo, mid)
+        assert price(got[name]) == pytest.approx(q["theo"], abs=1e-6)
+        if q["vega"] > 1:
+            assert got[name] == pytest.approx(hi, abs=1e-6)
