@@ -123,4 +123,10 @@ def html_table_scan(spark, d):
     return pages.select("page_id").join(found, "page_id", "left").select("page_id", F.coalesce("tables", F.lit(0)).alias("tables")).where("tables = 0")
 
 
+@query()
+def html_table_rows(spark, d):
+    """Every row of every table of all pages."""
+    return readers.html_tables(table(spark, d, "pages"), "page_id", "html")
+
+
 QUERIES, SQL = query.queries, query.sql

@@ -111,3 +111,12 @@ def test_user_functions(spark):
     assert [tuple(r) for r in spark.sql("SELECT * FROM chunks(0, 5, 2)").collect()] == [(0, 0, 2), (1, 2, 4), (2, 4, 5)]
     with pytest.raises(KeyError):
         udf.apply(spark.range(1), "nothing")
+
+
+def test_html_table_rows_keeps_pages_with_tables(spark, tmp_path):
+    from fathom.queries.scalars import QUERIES
+
+    html = "<p>x</p><table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2</td></tr></table><table><tr><td>3</td></tr></table>"
+    spark.createDataFrame([(1, "u", html), (2, "u", "<p>none</p>"), (3, "u", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in QUERIES["html_table_rows"](spark, str(tmp_path)).collect())
+    assert got == [(1, 0, 0, ["A", "B"]), (1, 0, 1, ["1", "2"]), (1, 1, 0, ["3"])]
