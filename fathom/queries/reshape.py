@@ -79,6 +79,12 @@ def set_equality(spark, d):
     return rs.same_members(a, table(spark, d, "customer").select(F.col("c_custkey").alias("k")))
 
 
+@query("""(SELECT *, 'left' AS side FROM (SELECT o_custkey AS k FROM orders EXCEPT ALL SELECT c_custkey FROM customer)) UNION ALL (SELECT *, 'right' AS side FROM (SELECT c_custkey FROM customer EXCEPT ALL SELECT o_custkey FROM orders))""")
+def set_equality_whole(spark, d):
+    """All orders' customers against all customers."""
+    return rs.same_members(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), table(spark, d, "customer").select(F.col("c_custkey").alias("k")))
+
+
 @query("SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02' AND user_id NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-28')")
 def set_lost(spark, d):
     e = table(spark, d, "events")

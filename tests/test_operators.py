@@ -157,3 +157,11 @@ def test_every_quoted_contract_is_priced_and_solved(spark):
         assert price(got[name]) == pytest.approx(q["theo"], abs=1e-6)
         if q["vega"] > 1:
             assert got[name] == pytest.approx(hi, abs=1e-6)
+
+
+def test_set_equality_sees_late_orders(spark, tmp_path):
+    from fathom.queries.reshape import QUERIES
+
+    spark.createDataFrame([(1, 1), (2_000_000, 2), (2_000_001, 9)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1,), (2,), (3,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    assert sorted(tuple(r) for r in QUERIES["set_equality_whole"](spark, str(tmp_path)).collect()) == [(3, "right"), (9, "left")]
