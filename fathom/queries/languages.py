@@ -51,6 +51,13 @@ def dimension_constraints(spark, d):
     return lang.impossible(e.where("event_id < 500").select("user_id", "event_type").distinct(), e.where("event_id >= 5000"), ["user_id", "event_type"])
 
 
+@query("SELECT DISTINCT user_id, event_type FROM events WHERE ts < TIMESTAMP '2024-01-16' AND (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE ts >= TIMESTAMP '2024-01-16')")
+def dimension_constraints_whole(spark, d):
+    """Combinations of the month's first half that its second half doesn't list; the halves are all events."""
+    e = table(spark, d, "events")
+    return lang.impossible(e.where("ts < timestamp_ntz'2024-01-16'").select("user_id", "event_type").distinct(), e.where("ts >= timestamp_ntz'2024-01-16'"), ["user_id", "event_type"])
+
+
 @query("SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, round(l_discount / 100, 8) AS pct, l_quantity FROM lineitem WHERE CAST(l_shipdate AS DATE) IN (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem ORDER BY d DESC LIMIT 5)")
 def positions_report(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("date"), F.col("l_discount").alias("pct"), "l_quantity", F.col("l_quantity").alias("same"))

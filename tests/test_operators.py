@@ -165,3 +165,12 @@ def test_set_equality_sees_late_orders(spark, tmp_path):
     spark.createDataFrame([(1, 1), (2_000_000, 2), (2_000_001, 9)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     spark.createDataFrame([(1,), (2,), (3,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
     assert sorted(tuple(r) for r in QUERIES["set_equality_whole"](spark, str(tmp_path)).collect()) == [(3, "right"), (9, "left")]
+
+
+def test_dimension_constraints_see_all_events(spark, tmp_path):
+    from fathom.queries.languages import QUERIES
+
+    rows = [(2_000, "2024-01-03", 1, "a"), (9_000, "2024-01-04", 1, "b"), (3_000, "2024-01-20", 1, "a"), (100, "2024-01-21", 2, "c")]
+    events = spark.createDataFrame(rows, "event_id long, day string, user_id long, event_type string").select("event_id", F.col("day").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    assert [tuple(r) for r in QUERIES["dimension_constraints_whole"](spark, str(tmp_path)).collect()] == [(1, "b")]
