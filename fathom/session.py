@@ -27,11 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that driver and executors share; a temporary one only where none is set."""
+    """A new path in the folder that driver and executors share; a temporary one only where none is set and executors are the driver's threads."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
         if not context._jsc.sc().getCheckpointDir().isDefined():
+            if not context._jsc.sc().isLocal():
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="fathom-"))
         base = context._jsc.sc().getCheckpointDir().get()
     return f"{base.rstrip('/')}/fathom-{tag}-{uuid.uuid4().hex[:12]}"
