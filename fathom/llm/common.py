@@ -16,11 +16,16 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one is set only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder serves a session whose executors are threads of the driver; on a cluster that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
         if not context._jsc.sc().getCheckpointDir().isDefined():
+            if not context._jsc.sc().isLocal():
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="fathom-"))
         base = context._jsc.sc().getCheckpointDir().get()
     return base.rstrip("/")
@@ -36,7 +41,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made, once nothing that is still to be computed reads them."""
+    for t in tables:
+        jvm, hadoop = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(t.scratch)
+        folder.getFileSystem(hadoop).delete(folder, True)
 
 
 def local_path(path: str) -> str | None:
@@ -57,8 +72,8 @@ def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[p
             yield batch.slice(start, rows)
 
 
-def byte_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices whose texts in ``column`` hold about ``most`` bytes; a longer text comes alone."""
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices whose texts in ``column`` hold about ``most`` bytes, so that few become Python objects at a time; a longer text comes alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0

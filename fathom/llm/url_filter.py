@@ -49,9 +49,9 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, r"^[^/?#]*", 0)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def bloom_of(rules: DataFrame) -> BlockedBloom:
-    """The filter of all rules. Tasks build partial filters; its size is bounded, and a longer list only passes more false hits."""
-    n = rules.count()
+def bloom_of(keys: DataFrame, *columns: str) -> BlockedBloom:
+    """The filter of all keys, by XXH64. Tasks build partial filters; its size is bounded, and a longer list only passes more false hits."""
+    n = keys.count()
     blocks = min(MOST_BLOCKS, max(1, -(-n * BITS_PER_KEY // (32 * WORDS))))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,11 +63,11 @@ def bloom_of(rules: DataFrame) -> BlockedBloom:
             part = used[at : at + (1 << 14)]
             yield pd.DataFrame({"block": part, **{f"w{i}": bloom.table[part, i].astype(np.int64) for i in range(WORDS)}})
 
-    columns = [f"w{i}" for i in range(WORDS)]
-    parts = rules.select(F.xxhash64("host", "path").alias("h")).mapInPandas(partial, "block long, " + ", ".join(f"{c} long" for c in columns))
+    words = [f"w{i}" for i in range(WORDS)]
+    parts = keys.select(F.xxhash64(*columns).alias("h")).mapInPandas(partial, "block long, " + ", ".join(f"{c} long" for c in words))
     whole = BlockedBloom(blocks)
-    for row in parts.groupBy("block").agg(*(F.bit_or(c).alias(c) for c in columns)).toLocalIterator():
-        whole.table[row["block"]] = [row[c] for c in columns]
+    for row in parts.groupBy("block").agg(*(F.bit_or(c).alias(c) for c in words)).toLocalIterator():
+        whole.table[row["block"]] = [row[c] for c in words]
     return whole
 
 
@@ -90,7 +90,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     ]
     if not keys:
         return base.select(F.col("id").alias(id_col), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    bloom = pages.sparkSession.sparkContext.broadcast(bloom_of(rules))
+    bloom = pages.sparkSession.sparkContext.broadcast(bloom_of(rules, "host", "path"))
 
     @F.pandas_udf("boolean")
     def possible(hashes: pd.Series) -> pd.Series:
