@@ -1,9 +1,10 @@
 """Benchmark decontamination by winnowing, in DataFrame functions alone.
 
-Word K-grams are hashed; of every W consecutive K-grams the least hash is kept. W windows of K-grams span
-SPAN = K + W - 1 words, so two texts that share SPAN words keep an equal fingerprint at the same place of
-the shared span: no shared span of that length is missed. Fingerprints of documents are joined with those
-of the items, and each hit is extended to its whole span, compared word by word.
+Word K-grams are hashed; of every W consecutive K-grams the least hash is kept, and neighbouring windows that keep the
+same one count once. W windows of K-grams span SPAN = K + W - 1 words, so two texts that share SPAN words keep an equal
+fingerprint at the same place of the shared span: no shared span of that length is missed. The fingerprints of all
+documents are joined with those of the items. Only documents that share one are read again: each hit is extended
+to its whole windows, compared word by word, and windows that overlap or touch become one stretch.
 
 Items shorter than SPAN have one window, the whole item; it is found by the hash of as many words.
 """
@@ -17,13 +18,12 @@ from .common import ascii_lower, written
 
 K, W = 5, 6
 SPAN = K + W - 1
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: So many fingerprints of the items are put into the plan as a set; more are joined by a shuffle.
-SET_BOUND = 20_000
+APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between words once A-Z are lower-cased
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words of a text. Splitting goes over it once; ``regexp_extract_all`` copies the text for every match."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), APART), "")
 
 
 def places(last: Column) -> Column:
@@ -67,16 +67,23 @@ def fingerprint_at(i: Column, m: int) -> Column:
     return kept_hash(i) if m == SPAN else gram_hash(F.col("words"), i, m)
 
 
-def candidates(table: DataFrame, lengths: list[int], chosen) -> DataFrame:
-    """Adds ``hits``: (pos, m, fp, window) wherever ``chosen(m, fingerprint)`` holds."""
+def prints(lengths: list[int]) -> Column:
+    """The different fingerprints (m, fp) of a document's windows of each length."""
 
     def of(m: int) -> Column:
-        at = F.filter(places(F.col("n") - m), lambda i: chosen(m, fingerprint_at(i, m)))
+        return F.transform(F.array_distinct(F.transform(places(F.col("n") - m), lambda i: fingerprint_at(i, m))), lambda fp: F.struct(F.lit(m).alias("m"), fp.alias("fp")))
+
+    return F.concat(*map(of, lengths)) if lengths else F.array().cast("array<struct<m:int,fp:bigint>>")
+
+
+def candidates(lengths: list[int]) -> Column:
+    """(pos, m, fp, window) wherever a fingerprint is among those ``own`` that the items share."""
+
+    def of(m: int) -> Column:
+        at = F.filter(places(F.col("n") - m), lambda i: F.array_contains("own", F.struct(F.lit(m).alias("m"), fingerprint_at(i, m).alias("fp"))))
         return F.transform(at, lambda i: F.struct(i.alias("pos"), F.lit(m).alias("m"), fingerprint_at(i, m).alias("fp"), window_text(i, F.lit(m)).alias("window")))
 
-    parts = [of(m) for m in lengths]
-    none = F.array().cast("array<struct<pos:int,m:int,fp:bigint,window:string>>")
-    return table.withColumn("hits", F.concat(*parts) if parts else none)
+    return F.concat(*map(of, lengths)) if lengths else F.array().cast("array<struct<pos:int,m:int,fp:bigint,window:string>>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -90,29 +97,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """
     windows = written(item_windows(items, item_id_col, item_text_col), "windows")
     lengths = sorted(r["m"] for r in windows.select("m").distinct().collect())  # at most SPAN numbers
-    text = F.col(text_col)
-    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"), words_of(text).alias("words"))
-    table = with_grams(narrow)
-    if windows.count() <= SET_BOUND:
-        sets: dict[int, list[int]] = {}
-        for r in windows.select("m", "fp").distinct().collect():
-            sets.setdefault(r["m"], []).append(r["fp"])
-        found = candidates(table, lengths, lambda m, fp: fp.isin(sorted(sets[m])))
-    else:
-
-        def prints(m: int) -> Column:
-            return F.transform(places(F.col("n") - m), lambda i: F.struct(F.lit(m).alias("m"), fingerprint_at(i, m).alias("fp")))
-
-        every = F.concat(*map(prints, lengths))
-        rows = table.select("id", "version", F.explode(F.array_distinct(every)).alias("x")).select("id", "version", "x.m", "x.fp")
-        both = rows.join(windows.select("m", "fp").distinct(), ["m", "fp"])
-        own = written(both.groupBy("id", "version").agg(F.collect_set(F.struct("m", "fp")).alias("own")), "matched")
-        own = own.withColumnsRenamed({"id": "i", "version": "v"})
-        met = table.join(own, F.col("id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")), "left")
-        table = met.select("id", "version", "words", "n", "g", F.coalesce("own", F.array().cast(own.schema["own"].dataType)).alias("own"))
-        found = candidates(table, lengths, lambda m, fp: F.array_contains("own", F.struct(F.lit(m).alias("m"), fp.alias("fp"))))
-    judged = written(found.select("id", "version", F.col("n").alias("n_words"), "hits"), "hits")
-    hits = judged.where(F.size("hits") > 0).dropDuplicates(["id", "version"]).select("id", "version", F.explode("hits").alias("h")).select("id", "version", "h.*")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
+    drawn = with_grams(narrow.select("id", "version", words_of(F.col("text")).alias("words")))
+    drawn = written(drawn.select("id", "version", F.col("n").cast("long").alias("n_words"), prints(lengths).alias("prints")), "prints")
+    rows = drawn.select("id", "version", F.explode("prints").alias("x")).select("id", "version", "x.m", "x.fp")
+    both = rows.join(windows.select("m", "fp").distinct(), ["m", "fp"])
+    own = both.groupBy(F.col("id").alias("i"), F.col("version").alias("v")).agg(F.collect_set(F.struct("m", "fp")).alias("own"))
+    own = written(own, "matched")
+    named = F.col("id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v"))
+    met = with_grams(narrow.join(own, named).select("id", "version", "own", words_of(F.col("text")).alias("words")))
+    hits = met.select("id", "version", F.explode(candidates(lengths)).alias("h")).select("id", "version", "h.*")
     met = hits.join(windows, ["m", "fp", "window"])
     stretch = F.struct("pos", (F.col("pos") + F.col("m")).alias("end"))
     per = met.groupBy("id", "version").agg(F.sort_array(F.collect_set(stretch)).alias("at"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("found"))
@@ -124,10 +119,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         ),
     )
     per = per.select(F.col("id").alias("i"), F.col("version").alias("v"), merged.alias("spans"), F.size("found").cast("long").alias("n_items"), F.sha2(F.array_join("found", ","), 256).alias("sha"))
-    out = judged.join(per, F.col("id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")), "left")
+    out = drawn.join(per, named, "left")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["pos"])
     zero = F.lit(0).cast("long")
     return out.select(
-        F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), F.coalesce(n_hit, zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
+        F.col("id").alias(id_col), "n_words", F.coalesce(n_hit, zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.coalesce(n_hit, zero) > 0).alias("contaminated"), "spans", "version",
     )
