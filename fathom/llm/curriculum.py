@@ -16,7 +16,7 @@ from .common import written
 WEIGHTS, SHARE, EPOCHS = (3.0, 1.0, 2.0), 1.5, 2
 #: Knots (time, weight) by rank, repeating as the weights do; only their shape counts, not their height.
 SCHEDULES = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.5), (0.5, 1.5), (1.0, 0.5)))
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def order_key(ident: Column) -> Column:
@@ -24,6 +24,11 @@ def order_key(ident: Column) -> Column:
     return F.coalesce(F.conv(F.substring(F.md5(ident.cast("string").cast("binary")), 1, 15), 16, 10).cast("long"), F.lit(0).cast("long"))
 
 
+def word_count(text: Column) -> Column:
+    """Words of a text, 0 for null. Splitting goes over it once; ``regexp_count`` copies the text for every match."""
+    return F.coalesce(F.size(F.array_remove(F.split(text, SPACE), "")), F.lit(0)).cast("long")
+
+
 def bucket_bits(rows: int) -> int:
     """Bits of the hash that cut a source of so many rows into about as many buckets as each holds rows."""
     return rows.bit_length() // 2
@@ -78,7 +83,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Documents of no words are never taken. Null sources are one source, the last; null ids sort first in their source's order, and ties go by size. Repeated rows are
     documents of their own. Reruns agree. An empty table gives an empty result.
     """
-    sized = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
+    sized = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), weights, share, epochs)
     sources = written(sources, "targets")
     # Each source's order is cut into buckets of the hash, so that no running sum goes over a whole source.
