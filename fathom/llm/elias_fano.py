@@ -80,8 +80,11 @@ class EliasFano:
         high = self._select(index, self.ones, 0) - index
         return (high.astype(U64) << U64(self.width)) | unpack(self.low, self.width, index)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The index of the first value equal to each key, or -1: successor search within the keys' high part."""
+    def find(self, keys: np.ndarray, first: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """The index of the first value equal to each key, or -1: successor search within the keys' high part.
+
+        With ``first`` and ``end`` only indices from ``first`` to before ``end`` are searched, for each key its own.
+        """
         keys = np.asarray(keys, U64)
         out = np.full(len(keys), -1, np.int64)
         if not self.n or not len(keys):
@@ -92,7 +95,10 @@ class EliasFano:
         there = np.flatnonzero((high >= 0) & (high < int(self.zeros[-1])))  # a high part that the sequence reaches
         h = high[there]
         start = np.where(h > 0, self._select(np.maximum(h - 1, 0), self.zeros, 255) - h + 1, 0)
-        stop = end = np.minimum(self._select(h, self.zeros, 255) - h, self.n)
+        stop = np.minimum(self._select(h, self.zeros, 255) - h, self.n)
+        if first is not None:
+            start, stop = np.maximum(start, first[there]), np.minimum(stop, end[there])
+        last = stop
         key = low[there]
         while len(open_ := np.flatnonzero(start < stop)):
             mid = (start[open_] + stop[open_]) >> 1
@@ -100,7 +106,7 @@ class EliasFano:
             start[open_] = np.where(less, mid + 1, start[open_])
             stop = stop.copy()
             stop[open_] = np.where(less, stop[open_], mid)
-        inside = np.flatnonzero(start < end)
+        inside = np.flatnonzero(start < last)
         hit = inside[unpack(self.low, self.width, start[inside]) == key[inside]]
         out[there[hit]] = start[hit]
         return out

@@ -1,18 +1,22 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-Tasks cut training texts into words by numpy alone, count (context, successor) pairs locally, and send
-compact sorted blocks to the shard of the pair's hash, so that a very common context is spread over all
-shards. A shard's task merges its blocks, keeps the counted pairs in a file, and sends each context's sums
-to the shard of the context's hash. There the context level is built: hashes and counts (as running sums)
-in Elias-Fano sequences, and 8-bit logarithms of the back-off weights. With it the shards of pairs are finished:
-their contexts, monotone pointers to their successors, the successors themselves, each relative to its
-context, all Elias-Fano, and 8-bit logarithms of the discounted probabilities.
-
-For scoring, workers memory-map the files and look up each batch's distinct pairs: the context's place by
-its hash, then the successor relative to it. P(w | u) = p(u, w) + b(u) P(w), with each context's absolute
-discount estimated from its own counts of one and two, and P(w) from the exact counts, likewise
-discounted in favour of one unknown word. Nothing is pruned, and neither the driver nor a task ever holds
-more than a shard.
+Tasks cut training texts into words by numpy alone. For every order from 2 up they count (context, successor) pairs locally,
+a context being the words before the successor, and send compact sorted blocks to the shard of the pair's hash, so that a very
+common context is spread over all shards. A shard's task merges its blocks, keeps the counted pairs in a file, and sends each
+context's sums to the shard of the context's hash. There the context level is built: hashes and counts (as running sums) in
+Elias-Fano sequences, and 8-bit logarithms of the back-off weights. With it the shards of pairs are finished: their
+contexts, monotone pointers to where each context's successors start, the successors, and 8-bit logarithms of the
+discounted probabilities. All successors are one monotone Elias-Fano sequence: a context's are stored above the last value of the context before.
+
+For scoring, workers memory-map the files and look up each batch's distinct pairs: the context's place by its hash, its two
+pointers, the value before the first of them, and relative to that the successor, searched between the pointers.
+P(w | u) = p(u, w) + b(u) P(w | u less its first word), with each context's absolute discount estimated from its own counts
+of one and two, and P(w) from the exact counts, likewise discounted in favour of one unknown word. Nothing is
+pruned, and neither the driver nor a task ever holds more than a shard.
+
+Words are told apart by 56 bits of a hash, successors of one context by 40: of V different words an expected
+V**2 / 2**57 share a hash (0.07 of 100 million), of k successors of a context k**2 / 2**41 (0.5 of a million). An unknown word is
+taken for a known one with a probability of V / 2**56. Counts are exact but for these.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import as_batch, byte_slices, scratch_path, written
+from .common import as_batch, byte_slices, discard, scratch_path, written
 from .elias_fano import EliasFano
 from .storage import mapped, put, remove
 
@@ -41,6 +45,7 @@ HASH_BITS, NEXT_BITS = 56, 40  # of a word's hash; of the part kept for a succes
 BEGIN, END = (1 << HASH_BITS) - 1, (1 << HASH_BITS) - 2  # context of the first word; token after the last word
 SHARD_BYTES = 24 << 20  # training text to a shard
 TASK_PAIRS, SCORE_BYTES = 2 << 20, 4 << 20
+MAPPED = 1 << 30  # bytes of files that a worker keeps mapped
 LOWEST = 8.0  # the smallest probability that a code can tell from none is 10 ** -LOWEST
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -96,13 +101,26 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets[1:] - offsets[0]
 
 
-def pairs_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context, token) of every token, the end of each text included."""
+def pairs_of(hashes: np.ndarray, counts: np.ndarray, order: int = 2) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Every token, the end of each text included, and for each order from 2 its context: a hash of the words before.
+
+    Before the first word stands BEGIN. The context of order 2 is the hash of the one word before.
+    """
     tokens = np.insert(hashes, np.cumsum(counts), U64(END))
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.concatenate(([0], np.cumsum(counts + 1)[:-1])).astype(np.int64)] = U64(BEGIN)
-    return before, tokens
+    starts = np.concatenate(([0], np.cumsum(counts + 1)[:-1])).astype(np.int64)
+
+    def shifted(x: np.ndarray) -> np.ndarray:
+        before = np.empty_like(x)
+        before[1:] = x[:-1]
+        before[starts] = U64(BEGIN)
+        return before
+
+    word = shifted(tokens)
+    contexts = [word]
+    for _ in range(order - 2):
+        word = shifted(word)
+        contexts.append(np.minimum(mixed(contexts[-1] * U64(0x9E3779B97F4A7C15) ^ word) >> U64(64 - HASH_BITS), U64(END - 1)))
+    return tokens, contexts
 
 
 def shard_of(context: np.ndarray, shards: int) -> np.ndarray:
@@ -212,9 +230,10 @@ def build_contexts(blocks: list[bytes], path: str) -> dict:
 def build_pairs(names: np.ndarray, runs: np.ndarray, following: np.ndarray, counts: np.ndarray, total: np.ndarray, discount: np.ndarray, path: str) -> None:
     """Write a shard's pairs to ``path``, with their contexts' totals and discounts."""
     rank = np.repeat(np.arange(len(names)), runs)
-    keys = (rank.astype(U64) << U64(NEXT_BITS)) | following
     starts = np.concatenate(([0], np.cumsum(runs)))
-    arrays, sizes = levels(contexts=(names, 1 << HASH_BITS), starts=(starts, int(starts[-1]) + 1), next=(keys, len(names) << NEXT_BITS))
+    tops = np.cumsum(following[starts[1:] - 1])  # the last value of each context
+    values = following + np.concatenate((np.zeros(1, U64), tops[:-1]))[rank]
+    arrays, sizes = levels(contexts=(names, 1 << HASH_BITS), starts=(starts, int(starts[-1]) + 1), next=(values, int(tops[-1]) + 1))
     put(path, file_of(arrays | {"p": code_of(np.maximum(counts - discount[rank], 0) / total[rank])}, sizes))
 
 
@@ -246,6 +265,7 @@ class Level:
 
     def __init__(self, path: str):
         whole = mapped(path)
+        self.bytes = len(whole)
         (n,) = struct.unpack_from("<Q", whole)
         head = json.loads(whole[8 : 8 + n])
         self.plain = {name: np.frombuffer(whole, kind, size, 8 + n + at) for name, (at, size, kind) in head["places"].items()}
@@ -266,7 +286,9 @@ class Level:
         out = np.zeros(len(contexts))
         place = self.ef["contexts"].find(contexts)
         there = np.flatnonzero(place >= 0)
-        found = self.ef["next"].find((place[there].astype(U64) << U64(NEXT_BITS)) | (tokens[there] >> U64(HASH_BITS - NEXT_BITS)))
+        first, end = self.ef["starts"].access(place[there]).astype(np.int64), self.ef["starts"].access(place[there] + 1).astype(np.int64)
+        base = np.where(first > 0, self.ef["next"].access(np.maximum(first - 1, 0)), U64(0))
+        found = self.ef["next"].find(base + (tokens[there] >> U64(HASH_BITS - NEXT_BITS)), first, end)
         hit = found >= 0
         out[there[hit]] = DECODE[self.plain["p"][found[hit]]]
         return out
@@ -291,8 +313,8 @@ def look_up(contexts: np.ndarray, shards: int, level) -> tuple[np.ndarray, np.nd
 
 @dataclass
 class Model:
-    contexts: list[str | None]  # files of the context level by shard
-    pairs: list[str | None]  # and of the pairs
+    contexts: list[list[str | None]]  # by order from 2: files of the context level by shard
+    pairs: list[list[str | None]]  # and of the pairs
     texts: int
     tokens: int
     words: int  # distinct, without the end
@@ -306,38 +328,54 @@ class Model:
         return self.__dict__ | {"maps": {}}
 
     def level(self, path: str | None) -> Level | None:
-        if path and path not in self.maps:
-            self.maps[path] = Level(path)
-        return self.maps.get(path)
+        """A mapped file; those used longest ago are let go beyond MAPPED bytes."""
+        if not path:
+            return None
+        found = self.maps.pop(path, None) or Level(path)
+        while self.maps and sum(x.bytes for x in self.maps.values()) + found.bytes > MAPPED:
+            self.maps.pop(next(iter(self.maps)))
+        self.maps[path] = found
+        return found
 
     @property
     def kinds(self) -> int:
         return self.words + bool(self.texts)
 
+    def seen_after(self, files: list[str | None], contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Discounted probabilities of pairs, each from the file of its shard; 0 if never seen."""
+        p = np.zeros(len(contexts))
+        home = pair_shard(contexts, tokens >> U64(HASH_BITS - NEXT_BITS), len(files))
+        order = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[order], np.arange(len(files) + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            if level := self.level(files[k]):
+                own = order[cuts[k] : cuts[k + 1]]
+                p[own] = level.successor(contexts[own], tokens[own])
+        return p
+
     def score(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(known tokens, base score, score) of each text."""
-        before, tokens = pairs_of(hashes, counts)
+        tokens, contexts = pairs_of(hashes, counts, len(self.pairs) + 1)
         starts = np.concatenate(([0], np.cumsum(counts + 1)[:-1])).astype(np.int64)
-        names, where = np.unique(np.concatenate((before, tokens)), return_inverse=True)
-        count, back, _ = look_up(names, len(self.contexts), lambda k: self.level(self.contexts[k]))
-        seen = count > 0
-        count[names == U64(END)] = self.texts
-        u, w = where[: len(before)], where[len(before) :]
-        pairs, at = np.unique((u.astype(U64) << U64(32)) | w.astype(U64), return_inverse=True)
-        pu, pw = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
-        p = np.zeros(len(pairs))
-        tried = np.flatnonzero(seen[pu] & (count[pw] > 0))
-        home = pair_shard(names[pu[tried]], names[pw[tried]] >> U64(HASH_BITS - NEXT_BITS), len(self.pairs))
-        order = np.argsort(home, kind="stable")
-        cuts = np.searchsorted(home[order], np.arange(len(self.pairs) + 1))
-        for k in np.flatnonzero(np.diff(cuts)).tolist():
-            if level := self.level(self.pairs[k]):
-                own = tried[order[cuts[k] : cuts[k + 1]]]
-                p[own] = level.successor(names[pu[own]], names[pw[own]])
-        p += back[pu] * self.alone(count)[pw]
+        names, where = np.unique(np.concatenate((contexts[0], tokens)), return_inverse=True)
+        w = where[len(tokens) :]
+        p = None
+        for k, context in enumerate(contexts):
+            found, u = (names, where[: len(tokens)]) if k == 0 else np.unique(context, return_inverse=True)
+            total, back, _ = look_up(found, len(self.contexts[k]), lambda i, files=self.contexts[k]: self.level(files[i]))
+            if k == 0:
+                count = total.copy()
+                count[names == U64(END)] = self.texts
+                p = self.alone(count)[w]
+            pairs, at = np.unique((u.astype(U64) << U64(32)) | w.astype(U64), return_inverse=True)
+            pu, pw = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
+            tried = np.flatnonzero((total[pu] > 0) & (count[pw] > 0))
+            after = np.zeros(len(pairs))
+            after[tried] = self.seen_after(self.pairs[k], found[pu[tried]], names[pw[tried]])
+            p = after[at] + back[u] * p
         base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
         known = np.add.reduceat((count[w] > 0).astype(np.int64), starts)
-        return known, np.add.reduceat(base[w], starts), np.add.reduceat(np.log10(np.minimum(p, 1.0))[at], starts)
+        return known, np.add.reduceat(base[w], starts), np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
 
     def alone(self, count: np.ndarray) -> np.ndarray:
         """P(w) from counts; all unknown words are one, which gets what the discount leaves."""
@@ -347,31 +385,37 @@ class Model:
         return np.where(count > 0, (count - d) / self.tokens, d * self.kinds / self.tokens)
 
 
-def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Model:
-    """Build the trie of all rows of ``texts`` in the shared folder; null texts are empty ones."""
+def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTES, order: int = 2) -> Model:
+    """Build the trie of orders 2 to ``order`` of all rows of ``texts`` in the shared folder; null texts are empty ones.
+
+    ``shard_bytes`` of training text go to a shard of each order: a task's memory is about six times that.
+    """
     spark = texts.sparkSession
     narrow = texts.select(F.col(text_col).alias("text"))
     size, rows = narrow.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    shards = max(1, -(-(size or 0) // shard_bytes))
+    shards, depth = max(1, -(-(size or 0) // shard_bytes)), order - 1
     folder = scratch_path(spark, "trie")
+    # Shard k of the order o is number (o - 2) * shards + k.
 
     def local(batches):
         kept, n = [], 0
 
         def flush():
-            names, following, counts = counted(np.concatenate([b for b, _ in kept]), np.concatenate([t for _, t in kept]))
-            home = pair_shard(names, following, shards)
-            order = np.argsort(home, kind="stable")
-            names, following, counts = names[order], following[order], counts[order]
-            cuts = np.searchsorted(home[order], np.arange(shards + 1))
-            for k in np.flatnonzero(np.diff(cuts)).tolist():
-                part = slice(cuts[k], cuts[k + 1])
-                ends = runs_of(names[part])
-                block = to_block(names[part][ends[:-1]], np.diff(ends), following[part], counts[part])
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([block], pa.binary())], ["shard", "block"])
+            tokens = np.concatenate([t for t, _ in kept])
+            for level in range(depth):
+                names, following, counts = counted(np.concatenate([c[level] for _, c in kept]), tokens)
+                home = pair_shard(names, following, shards)
+                by_home = np.argsort(home, kind="stable")
+                names, following, counts = names[by_home], following[by_home], counts[by_home]
+                cuts = np.searchsorted(home[by_home], np.arange(shards + 1))
+                for k in np.flatnonzero(np.diff(cuts)).tolist():
+                    part = slice(cuts[k], cuts[k + 1])
+                    ends = runs_of(names[part])
+                    block = to_block(names[part][ends[:-1]], np.diff(ends), following[part], counts[part])
+                    yield pa.RecordBatch.from_arrays([pa.array([level * shards + k], pa.int32()), pa.array([block], pa.binary())], ["shard", "block"])
 
         for b in byte_slices(batches, 0, SCORE_BYTES):
-            kept.append(pairs_of(*words_of(*buffers(b.column(0)))))
+            kept.append(pairs_of(*words_of(*buffers(b.column(0))), order))
             n += len(kept[-1][0])
             if n >= TASK_PAIRS:
                 yield from flush()
@@ -398,7 +442,7 @@ def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYT
         cuts = np.searchsorted(shard_of(names, shards), np.arange(shards + 1))
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             block = zstandard.ZstdCompressor(level=1).compress(rows[cuts[k] : cuts[k + 1]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([block], pa.binary()), pa.array([shard], pa.int32()), pa.array([path])], ["shard", "block", "from", "path"])
+            yield pa.RecordBatch.from_arrays([pa.array([shard // shards * shards + k], pa.int32()), pa.array([block], pa.binary()), pa.array([shard], pa.int32()), pa.array([path])], ["shard", "block", "from", "path"])
 
     def build(batches):
         shard, blocks = gathered(batches)
@@ -412,26 +456,28 @@ def learn(texts: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYT
         for b in batches:
             for shard, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 names, runs, following, counts = from_block(bytes(mapped(source)))
-                total, _, discount = look_up(names, shards, lambda k: level(contexts[k]) if contexts[k] else None)
+                total, _, discount = look_up(names, shards, lambda k, files=contexts[shard // shards]: level(files[k]) if files[k] else None)
                 path = f"{folder}/pairs-{shard:06d}-{uuid.uuid4().hex[:8]}.trie"
                 build_pairs(names, runs.astype(np.int64), following, counts.astype(np.int64), total, discount, path)
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([path]), pa.array([source])], ["shard", "path", "source"])
 
+    def listed(paths: dict[int, str]) -> list[list[str | None]]:
+        return [[paths.get(level * shards + k) for k in range(shards)] for level in range(depth)]
+
     sums = "shard int, path string, words long, tokens long, ones long, twos long"
     arrow = to_arrow_schema(T._parse_datatype_string(sums))
-    merged = written(narrow.mapInArrow(local, "shard int, block binary").repartitionById(shards, "shard").mapInArrow(merge, "shard int, block binary, from int, path string"), "sums")
-    made = merged.select("shard", "block").repartitionById(shards, "shard").mapInArrow(build, sums).collect()
-    contexts: list[str | None] = [None] * shards
-    for r in made:
-        contexts[r["shard"]] = r["path"]
+    every = depth * shards
+    merged = written(narrow.mapInArrow(local, "shard int, block binary").repartitionById(every, "shard").mapInArrow(merge, "shard int, block binary, from int, path string"), "sums")
+    made = merged.select("shard", "block").repartitionById(every, "shard").mapInArrow(build, sums).collect()
+    contexts = listed({r["shard"]: r["path"] for r in made})
     sources = merged.select(F.col("from").alias("shard"), "path").distinct()
-    pairs: list[str | None] = [None] * shards
-    for r in sources.repartitionById(shards, "shard").mapInArrow(finish, "shard int, path string, source string").collect():
-        pairs[r["shard"]] = r["path"]
+    finished = sources.repartitionById(every, "shard").mapInArrow(finish, "shard int, path string, source string").collect()
+    for r in finished:
         remove(r["source"])
     ends = [rows] if rows else []
-    total = {k: sum(r[k] for r in made) for k in ("tokens", "words", "ones", "twos")}
-    return Model(contexts, pairs, rows, total["tokens"], total["words"], total["ones"] + ends.count(1), total["twos"] + ends.count(2))
+    total = {k: sum(r[k] for r in made if r["shard"] < shards) for k in ("tokens", "words", "ones", "twos")}
+    discard(merged)
+    return Model(contexts, listed({r["shard"]: r["path"] for r in finished}), rows, total["tokens"], total["words"], total["ones"] + ends.count(1), total["twos"] + ends.count(2))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
