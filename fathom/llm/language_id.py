@@ -9,6 +9,7 @@ a temperature and the rejection threshold are fitted on a part of the sample tha
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import as_batch, row_slices
+from .common import as_batch, byte_slices
 
 BUCKETS, DIMS, GRAMS = 1 << 13, 16, 4
 #: Texts of the training sample, all languages together: expected number, drawn by a hash of the id.
@@ -38,8 +39,8 @@ def clean(text: str | None) -> str:
     return f" {NOT_LETTERS.sub(' ', (text or '').lower()).strip()} "
 
 
-def buckets(cleaned: bytes) -> np.ndarray:
-    """The buckets of all byte n-grams of a cleaned text."""
+def buckets(cleaned: bytes, starts: int) -> np.ndarray:
+    """The buckets of the byte n-grams that begin in the first ``starts`` bytes."""
     b = np.frombuffer(cleaned, np.uint8).astype(np.uint32)
     found, h = [], np.zeros(len(b), np.uint32)
     for n in range(1, GRAMS + 1):
@@ -47,16 +48,20 @@ def buckets(cleaned: bytes) -> np.ndarray:
             break
         h = (h[: len(b) - n + 1] * np.uint32(0x01000193)) ^ (b[n - 1 :] + np.uint32(n << 8))
         mixed = h * np.uint32(0x9E3779B1)
-        found.append(mixed >> np.uint32(32 - 13))
+        found.append(mixed[:starts] >> np.uint32(32 - 13))
     return np.concatenate(found)
 
 
-def frequencies(cleaned: str) -> np.ndarray:
-    """Mean one-hot vector of a text's n-grams; n-grams across the blocks of a very long text are in one block or the other's overlap."""
+def blocks(cleaned: str) -> Iterator[np.ndarray]:
+    """How often each bucket is met, by blocks of a very long text; an n-gram counts in the block that it begins in."""
     raw = cleaned.encode("utf-8")
-    total = np.zeros(BUCKETS)
     for at in range(0, len(raw), BLOCK):
-        total += np.bincount(buckets(raw[at : at + BLOCK]), minlength=BUCKETS)
+        yield np.bincount(buckets(raw[at : at + BLOCK + GRAMS - 1], BLOCK), minlength=BUCKETS)
+
+
+def frequencies(cleaned: str) -> np.ndarray:
+    """Mean one-hot vector of a text's n-grams."""
+    total = sum(blocks(cleaned), np.zeros(BUCKETS))
     return (total / total.sum()).astype(np.float16)
 
 
@@ -73,10 +78,8 @@ class Model:
         cleaned = clean(text)
         if not self.names or not has_letter(cleaned):
             return UNKNOWN, 0.0, False
-        raw = cleaned.encode("utf-8")
         total, n = np.zeros(len(self.names)), 0
-        for at in range(0, len(raw), BLOCK):
-            found = np.bincount(buckets(raw[at : at + BLOCK]), minlength=BUCKETS)
+        for found in blocks(cleaned):
             total += found @ self.table
             n += found.sum()
         p = softmax((total / n + self.bias) / self.temperature)
@@ -141,7 +144,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         keep = keep | ((F.col("lang") == name) & (draw < min(1.0, share / n)))
 
     def vectors(batches):
-        for b in row_slices(batches):
+        for b in byte_slices(batches, 0):
             cleaned = [clean(t) for t in b.column(0).to_pylist()]
             rows = [(lang, frequencies(c).tobytes()) for c, lang in zip(cleaned, b.column(1).to_pylist(), strict=True) if has_letter(c)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["lang", "x"])
@@ -171,7 +174,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         fitted = shared.value
-        for b in row_slices(batches):
+        for b in byte_slices(batches, at):
             found = [fitted.predict(t) for t in b.column(at).to_pylist()]
             yield as_batch(arrow, *b.columns[:at], *([f[i] for f in found] for i in range(3)))
 
