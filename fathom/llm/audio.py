@@ -30,7 +30,7 @@ UNIT, RATE = 192, 8000  # payload bytes come in multiples of UNIT; samples a sec
 UP, DOWN, TAPS = 3, 4, 8  # resampling ratio; filter taps on either side, per phase
 FRAME, HOP, FFT, MELS, PATCH = 150, 60, 256, 16, 32
 FLOOR, OPEN_DB, CLOSE_DB = 1e-8, 3.0, 1.0  # thresholds stand above and below the clip's mean level
-BLOCK = 1 << 14  # frames computed at once
+BLOCK = 1 << 14  # frames, and samples of a phase, computed at once
 BATCH_BYTES = 4 << 20
 
 
@@ -74,9 +74,10 @@ def resample(x: np.ndarray) -> np.ndarray:
     windows = np.lib.stride_tricks.sliding_window_view(padded, 2 * TAPS)
     out, taps = np.empty(n), phases()
     for k in range(UP):
-        m = len(range(k, n, UP))
-        first = k * DOWN // UP + 1
-        out[k::UP] = windows[first : first + DOWN * m : DOWN][:m] @ taps[k]
+        phase, first = out[k::UP], k * DOWN // UP + 1
+        for at in range(0, len(phase), BLOCK):
+            stop = min(len(phase), at + BLOCK)
+            phase[at:stop] = windows[first + DOWN * at : first + DOWN * stop : DOWN][: stop - at] @ taps[k]
     return out
 
 
