@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import row_slices, scratch_path, written
+from .common import byte_slices, scratch_path, written
 from .storage import mapped, put
 
 LEAST = 100
@@ -47,6 +48,11 @@ def clean_header(value: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
+def id_header(ident) -> str:
+    """An id as JSON text: on one line whatever it holds, and null apart from the empty string."""
+    return json.dumps(None if ident is None else str(ident))
+
+
 def make_record(ident, url: str | None, payload: bytes, digest: str, length: int, refers_to) -> bytes:
     """One WARC/1.1 record; a revisit has no block of its own."""
     revisit = refers_to is not None
@@ -54,10 +60,10 @@ def make_record(ident, url: str | None, payload: bytes, digest: str, length: int
     lines = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(ident)}", f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {clean_header(url or '')}", f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
-        f"X-Page-ID: {'' if ident is None else ident}", f"X-Payload-Length: {length}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(block)}",
+        f"X-Page-ID: {id_header(ident)}", f"X-Payload-Length: {length}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(block)}",
     ]
     if revisit:
-        lines += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}", f"WARC-Profile: {PROFILE}"]
+        lines += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {id_header(refers_to)}", f"WARC-Profile: {PROFILE}"]
     return "\r\n".join(lines).encode("utf-8") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -101,7 +107,7 @@ def write_archives(pages: DataFrame, resolved: DataFrame, folder: str, id_col: s
             parts, size, seen = [], 0, hashlib.sha256()
             return pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
 
-        for b in row_slices(batches):
+        for b in byte_slices(batches, 2):
             for row in b.to_pylist():
                 raw = make_record(row["page"], row["url"], (row["payload"] or "").encode("utf-8"), row["digest"], row["payload_bytes"], row["refers_to"])
                 packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -138,7 +144,7 @@ def read_archives(spark, paths: list[str], id_type: T.DataType) -> DataFrame:
                     length = len(block) if response else int(head["X-Payload-Length"])
                     if f"sha256:{digest}" != head["WARC-Payload-Digest"] or length != int(head["X-Payload-Length"]):
                         raise ValueError(f"record {head['WARC-Record-ID']} of {path} is damaged")
-                    rows.append((head["X-Page-ID"] or None, length, digest, head["WARC-Type"], head.get("X-Refers-To-Page-ID"), head["WARC-Target-URI"], block if response else None))
+                    rows.append((json.loads(head["X-Page-ID"]), length, digest, head["WARC-Type"], json.loads(head.get("X-Refers-To-Page-ID", "null")), head["WARC-Target-URI"], block if response else None))
                     size += len(block)
                     if size > 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), text_arrow, strict=True)], schema=text_arrow)
@@ -155,7 +161,7 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     """Write all pages to deduplicated archives and read these back: see :func:`read_archives`.
 
     A null payload or URL is an empty one. Payloads under LEAST bytes are always responses. A null id is
-    written as an empty header; if its payload has another record with an id it is a revisit of that, else a response. Repeated rows are
+    kept; if its payload has another record with an id it is a revisit of that, else a response. Repeated rows are
     records of their own, and rows that repeat the smallest id are all responses. An empty table gives
     no archive and an empty result. Columns beside the three are not touched.
     """
