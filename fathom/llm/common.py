@@ -65,13 +65,6 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Short slices, so that few texts at a time become Python objects."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def byte_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices whose texts in ``column`` hold about ``most`` bytes, so that few become Python objects at a time; a longer text comes alone."""
     for batch in batches:
