@@ -25,6 +25,21 @@ def brute_verdict(url, rules):
     return host, path, best and best[3], best[2] if best else "allow"
 
 
+def test_url_verdicts_of_repeats_and_long_urls(spark):
+    long = "http://" + "a." * 2000 + "example.com/en/" + "x" * 100_000
+    pages = spark.createDataFrame([(1, "http://net/es/"), (1, "http://net/es/"), (1, "http://b.com/"), (2, long)], "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    assert sorted((r["page_id"], r["verdict"], r["rule"]) for r in url_filter.judge(pages, rules).collect()) == [(1, "allow", "com/"), (1, "block", "net/es/"), (1, "block", "net/es/"), (2, "block", "example.com/en/")]
+
+
+def test_chats_order_ties_by_role_and_text(spark):
+    rows = [(1, 0, "b", "x"), (1, 0, "a", "z"), (1, 0, "a", "y"), (2, 0, "a", "y"), (2, 0, "a", "z"), (3, 5, "u", "long " * 200_000), (3, 5, "u", "long " * 200_000), (4, None, "u", "n"), (4, 0, "u", "m")]
+    got = {r["conv_id"]: r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert sorted(got) == [1, 3, 4] and got[3]["n_turns"] == 2
+    assert got[1]["rendered"] == "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in (("a", "y"), ("a", "z"), ("b", "x")))
+    assert got[4]["rendered"].index("\nn<") < got[4]["rendered"].index("\nm<")
+
+
 def test_url_verdicts(spark):
     urls = ["http://A.Example.COM/en/x?q#f", "https://www.example.com/en/1", "http://x.net/fr/", "http://net/es/1", "http://example.com", "http://examplecom/en/", "http://a.com?x=/en/", "ftp://u:p@b.com:80/en/#", "no scheme", "", None, "http://", "http:///en/", "http://É.com/", "http://notexample.com/en/", "http://x.net/f", "http://x.net/fr/"]
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)] + [(None, urls[0], "x", "y")], "page_id long, url string, host string, rule string")
@@ -40,7 +55,7 @@ def test_url_verdicts(spark):
 
 def test_bloom_has_no_false_negatives(spark):
     rules = spark.createDataFrame([(f"h{i}.org", f"/{i}/", "block") for i in range(5000)], "host string, path string, verdict string")
-    bloom = url_filter.bloom_of(rules)
+    bloom = url_filter.bloom_of(rules, "host", "path")
     hashes = np.array([r[0] for r in rules.selectExpr("xxhash64(host, path)").collect()], np.int64)
     assert bloom.has(hashes).all()
     other = np.random.default_rng(0).integers(-(1 << 63), (1 << 63) - 1, 20_000)
@@ -139,6 +154,14 @@ def test_archives_repeat_rows(spark):
     assert sorted((r["page_id"], r["record_type"]) for r in warc.archive(df).collect()) == [(1, "response")] * 3 + [(2, "revisit")]
 
 
+def test_archives_keep_any_id(spark):
+    ids = ["a\r\nWARC-Type: x", "", None, "é\x00", '"', "null"]
+    df = spark.createDataFrame([(i, "u", str(n)) for n, i in enumerate(ids)] + [("a\r\nWARC-Type: y", "u", "y" * 200), ("b: c", "u", "y" * 200), ("long", "u", "z" * 3_000_000)], "page_id string, url string, html string")
+    got = warc.archive(df).collect()
+    assert sorted((r["page_id"], r["record_type"]) for r in got if r["page_id"] is not None) == sorted([(i, "response") for i in ids if i is not None] + [("a\r\nWARC-Type: y", "response"), ("b: c", "revisit"), ("long", "response")])
+    assert sum(r["page_id"] is None for r in got) == 1 and [r["refers_to"] for r in got if r["page_id"] == "b: c"] == ["a\r\nWARC-Type: y"]
+
+
 def test_damaged_archive_is_noticed():
     import zlib
 
@@ -162,18 +185,41 @@ def small(spark):
     return docs.unionByName(odd).unionByName(docs.limit(3))
 
 
+def brute_groups(texts, shingle=5, at_least=0.8):
+    """The first text reachable from each over all pairs of similar shingle sets."""
+    from itertools import combinations
+
+    def grams(text):
+        w = (text or "").encode().lower().split()
+        return frozenset(b" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))) if w else frozenset()
+
+    sets, parent = [grams(t) for t in texts], list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j]) if min(len(sets[i]), len(sets[j])) >= at_least * max(len(sets[i]), len(sets[j])) else 0
+        if sets[i] == sets[j] or both >= at_least * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((top(i), top(j)))
+            parent[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
 def test_pipeline_stages(spark):
-    from .test_text_operators import brute_components, brute_contamination, brute_fingerprint
+    from .test_text_operators import brute_contamination
 
     docs = small(spark)
     rows = [tuple(r) for r in docs.collect()]
     one = pipeline.identify_language(spark, docs, SF)
     kept = [tuple(r) for r in one.collect()]
     assert one.columns == COLUMNS and {r[0] for r in rows} - {r[0] for r in kept} == {90_001, 90_002}
-    two = pipeline.drop_near_duplicates(spark, one, SF)
+    two = pipeline.drop_near_copies(spark, one, SF)
     assert two.columns == COLUMNS
     ids = sorted({r[0]: r for r in kept if r[0] is not None}.items())
-    groups = brute_components([brute_fingerprint(r[1]) for _, r in ids])
+    groups = brute_groups([r[1] for _, r in ids])
     want = [i for k, (i, _) in enumerate(ids) if groups[k] == k]
     got = [tuple(r) for r in two.collect()]
     assert sorted(r[0] for r in got if r[0] is not None) == want and sum(r[0] is None for r in got) == 1
@@ -183,6 +229,7 @@ def test_pipeline_stages(spark):
     assert three.columns == COLUMNS and sorted((tuple(r) for r in three.collect()), key=repr) == clean and len(clean) < len(got)
     four = pipeline.mix_sources(spark, three, SF).collect()
     assert {r["doc_id"] for r in four} <= {r[0] for r in clean} and all(r["taken"] > 0 for r in four)
+    assert all(r["taken"] == sum(p["words"] for p in r["passes"]) and r["position"] == r["passes"][0]["position"] for r in four)
     assert sum(r["taken"] for r in four) == pytest.approx(1.5 * sum(len(r[1].split()) for r in clean), rel=0.01)
 
 
@@ -219,29 +266,35 @@ def test_pipeline_stages_after_language_equal_sql(spark):
 
 def test_pipeline_near_duplicates_reach_similarity(spark):
     """The stage against all pairs: five-word shingles, similarity 0.8."""
-    from itertools import combinations
-
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     words = [f"w{i}" for i in range(200)]
     far = [(900_000 + i, " ".join([*words[: 20 * i], "other", *words[20 * i + 1 :]]), "en", "src0", 1) for i in range(1, 9)]
     docs = docs.unionByName(spark.createDataFrame(far, docs.schema))
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    groups = brute_groups([t for _, t in rows])
+    stage = dict(pipeline.STAGES)["near_duplicates"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, SF).collect()) == [rows[i][0] for i in range(len(rows)) if groups[i] == i]
 
-    def grams(text):
-        w = text.encode().lower().split()
-        return frozenset(b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
-    sets, parent = [grams(t) for _, t in rows], list(range(len(rows)))
+def test_near_copies_of_repeats_nulls_and_long_texts(spark):
+    from fathom.llm import near_copies
 
-    def top(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
+    long = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
+    rows = [(5, "a b c d e f g"), (3, "A b c\td e f g"), (None, "a b c d e f g"), (7, ""), (8, None), (9, long), (2, long + " more"), (5, "other words that stand here")]
+    df = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, node long, keys string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_copies.near_copies(df).collect())
+    assert got == [(2, 2), (3, 3), (5, 3), (5, 3), (7, 7), (8, 7), (9, 2)]
+    assert near_copies.near_copies(df.limit(0)).count() == 0
 
-    for i, j in combinations(range(len(rows)), 2):
-        both = len(sets[i] & sets[j]) if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j])) else 0
-        if sets[i] == sets[j] or 10 * both >= 8 * (len(sets[i]) + len(sets[j]) - both):
-            a, b = sorted((top(i), top(j)))
-            parent[b] = a
-    stage = dict(pipeline.STAGES)["near_duplicates"]
-    assert sorted(r["doc_id"] for r in stage(spark, docs, SF).collect()) == [rows[i][0] for i in range(len(rows)) if top(i) == i]
+
+def test_wide_simhashes_of_similar_sets_are_near():
+    from fathom.llm import near_copies
+
+    rng = np.random.default_rng(4)
+    for size in (16, 40, 700):
+        bits = []
+        for _ in range(40):
+            both = rng.integers(0, 1 << 63, size * 8 // 9 + 1, dtype=np.uint64)
+            a, b = (np.concatenate((both, rng.integers(0, 1 << 63, size // 9, dtype=np.uint64))) for _ in range(2))
+            bits.append(int(np.bitwise_count((near_copies.wide_simhash(a) ^ near_copies.wide_simhash(b)).view(np.uint64)).sum()))
+        assert max(bits) <= near_copies.FAR
