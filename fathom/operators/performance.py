@@ -47,8 +47,8 @@ def sortino(df: DataFrame, by: Sequence[str], order: Sequence[str], target: str,
 
 
 def growth(ret: Column, w) -> Column:
-    """Product of 1 + return so far."""
-    return F.exp(F.sum(F.log1p(ret)).over(so_far(w)))
+    """Product of 1 + return so far: 0 from a return of -100 % on, of the other sign after one below it."""
+    return F.product(1 + ret).over(so_far(w))
 
 
 def series_metrics(df: DataFrame, by: Sequence[str], order: Sequence[str], ret: str) -> DataFrame:
@@ -66,7 +66,7 @@ def drawdown(df: DataFrame, by: Sequence[str], order: Sequence[str], ret: str) -
     """Cumulative return in percent, growth path and drawdown; the first return counts."""
     w = ordered(by, order)
     df = df.withColumn("growth", growth(F.coalesce(F.col(ret), F.lit(0.0)), w))
-    return df.withColumns({"cumulative": (F.col("growth") - 1) * 100, "drawdown": F.col("growth") / F.max("growth").over(so_far(w)) - 1})
+    return df.withColumns({"cumulative": (F.col("growth") - 1) * 100, "drawdown": F.try_divide("growth", F.max("growth").over(so_far(w))) - 1})
 
 
 def portfolio_returns(df: DataFrame, weights: DataFrame, date: str = "date") -> DataFrame:
@@ -100,11 +100,11 @@ def tail_contribution(df: DataFrame, weights: DataFrame, date: str = "date", p:
 
 
 def nav_history(df: DataFrame, by: Sequence[str], order: Sequence[str], ret: str, value: float) -> DataFrame:
-    """Growth path scaled so that each series ends at the present value."""
+    """Growth path scaled so that each series ends at the present value; null where the series ends at nothing."""
     w = ordered(by, order)
     df = df.withColumn("_g", growth(F.coalesce(F.col(ret), F.lit(0.0)), w))
     last = F.last("_g").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.withColumn("nav", F.col("_g") / last * value).drop("_g")
+    return df.withColumn("nav", F.try_divide(F.col("_g"), last) * value).drop("_g")
 
 
 def shocks(weights: DataFrame, betas: DataFrame, moves: Sequence[float], leverage: float = 1.0, funding: float = 0.0) -> DataFrame:

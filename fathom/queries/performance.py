@@ -54,14 +54,14 @@ def sortino_ratio(spark, d):
     return rounded(pf.sortino(df, ["symbol"], ["ts"], "level", 30, adjusted=True).select("symbol", "ts", "sortino_30"), 3)
 
 
-@query(f"""WITH {RET}, g AS (SELECT *, exp(sum(ln(1 + ret)) OVER (PARTITION BY symbol ORDER BY date)) AS g FROM x), dd AS (SELECT *, g / greatest(max(g) OVER (PARTITION BY symbol ORDER BY date), 1) - 1 AS dd, quantile_cont(ret, 0.05) OVER (PARTITION BY symbol) AS v FROM g)
+@query(f"""WITH {RET}, g AS (SELECT *, product(1 + ret) OVER (PARTITION BY symbol ORDER BY date) AS g FROM x), dd AS (SELECT *, g / greatest(max(g) OVER (PARTITION BY symbol ORDER BY date), 1) - 1 AS dd, quantile_cont(ret, 0.05) OVER (PARTITION BY symbol) AS v FROM g)
     SELECT symbol, {r("avg(ret) * 252", "mean")}, {r("stddev_samp(ret) * sqrt(252)", "volatility")}, {r("avg(ret) * 252 / (stddev_samp(ret) * sqrt(252))", "sharpe")}, {r("avg(ret) * 252 / (sqrt(avg(power(least(ret, 0), 2))) * sqrt(252))", "sortino")},
            {r("min(dd)", "max_drawdown")}, {r("any_value(v)", "var_5")}, {r("avg(ret) FILTER (WHERE ret <= v)", "cvar_5")} FROM dd GROUP BY symbol""")
 def series_metrics(spark, d):
     return rounded(pf.series_metrics(rets(spark, d), ["symbol"], ["date"], "ret"))
 
 
-@query(f"""WITH {RET}, g AS (SELECT *, exp(sum(ln(1 + ret)) OVER (PARTITION BY symbol ORDER BY date)) AS g FROM x)
+@query(f"""WITH {RET}, g AS (SELECT *, product(1 + ret) OVER (PARTITION BY symbol ORDER BY date) AS g FROM x)
     SELECT symbol, date, {r("g", "growth")}, {r("(g - 1) * 100", "cumulative", 4)}, {r("g / max(g) OVER (PARTITION BY symbol ORDER BY date) - 1", "drawdown")} FROM g""")
 def drawdown_path(spark, d):
     df = pf.drawdown(rets(spark, d), ["symbol"], ["date"], "ret").select("symbol", "date", "growth", "cumulative", "drawdown")
@@ -93,7 +93,7 @@ def tail_contribution(spark, d):
     return rounded(pf.tail_contribution(rets(spark, d), weights(spark, d)))
 
 
-@query(f"WITH {RET}, g AS (SELECT *, exp(sum(ln(1 + ret)) OVER (PARTITION BY symbol ORDER BY date)) AS g FROM x) SELECT symbol, date, {r('g / last_value(g) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) * 1000', 'nav', 4)} FROM g")
+@query(f"WITH {RET}, g AS (SELECT *, product(1 + ret) OVER (PARTITION BY symbol ORDER BY date) AS g FROM x) SELECT symbol, date, {r('g / last_value(g) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) * 1000', 'nav', 4)} FROM g")
 def nav_history(spark, d):
     return rounded(pf.nav_history(rets(spark, d), ["symbol"], ["date"], "ret", 1000.0).select("symbol", "date", "nav"), 4)
 
