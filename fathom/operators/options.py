@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 
 
 def enrich(chain: DataFrame, size: int = 100) -> DataFrame:
-    """Adds breakeven, delta exposure and gamma exposure (of a 1 % move); a put's gamma counts against. Nulls are 0."""
+    """Adds breakeven, delta exposure and gamma exposure (of a 1 % move); a put's gamma counts against.
+
+    Exposures are cut off to whole numbers, towards zero. Nulls are 0.
+    """
     call = F.col("option_type") == "call"
     dex = F.col("delta") * size * F.col("open_interest") * F.col("price")
     gex = F.col("gamma") * size * F.col("open_interest") * F.col("price") * F.col("price") * 0.01
     return chain.withColumns({
         "breakeven": F.when(call, F.col("strike") + F.col("ask")).otherwise(F.col("strike") - F.col("ask")),
-        "dex": F.coalesce(F.floor(dex), F.lit(0)).cast("long"),
-        "gex": F.coalesce(F.floor(F.when(call, gex).otherwise(-gex)), F.lit(0)).cast("long"),
+        "dex": F.coalesce(dex.cast("long"), F.lit(0).cast("long")),
+        "gex": F.coalesce(F.when(call, gex).otherwise(-gex).cast("long"), F.lit(0).cast("long")),
     })
 
 
@@ -41,21 +44,43 @@ def price_column(columns: Sequence[str], prefer: Sequence[str] = PRICES) -> str:
     raise KeyError(f"none of {', '.join(prefer)} among {', '.join(columns)}")
 
 
-def by_group(chain: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
-    """Calls, puts, total, put/call ratio and the net in percent of the total; zeros are null, all-null rows go."""
-    call = F.col("option_type") == "call"
-    agg = chain.groupBy(*by).agg(F.sum(F.when(call, F.col(measure))).alias("c"), F.sum(F.when(~call, F.col(measure))).alias("p"))
+EXPOSURES = ("dex", "gex")
+
+
+def magnitude(measure: str) -> Column:
+    """What statistics add up of a measure: exposures count without their sign."""
+    return F.abs(F.col(measure)) if measure in EXPOSURES else F.col(measure)
+
+
+def by_group(chain: DataFrame, by: Sequence[str], measure: str, moneyness: str | None = None, days: int | None = None, whole: Sequence[str] = ("underlying",)) -> DataFrame:
+    """Calls, puts, total, put/call ratio and ``net_percent``, the total in percent of that of the whole chain.
+
+    ``by`` starts with ``whole``, the columns that tell chains apart. ``moneyness`` (otm, itm; at the money is both) and ``days`` (the
+    expiration nearest to so many days) restrict the groups, not the whole. Zeros are null, groups of nothing but nulls go.
+    """
+    call, value = F.col("option_type") == "call", magnitude(measure)
+    if moneyness not in (None, "otm", "itm"):
+        raise ValueError(f"moneyness {moneyness!r} is neither otm nor itm")
+    above = F.col("strike") >= F.col("price") if moneyness == "otm" else F.col("strike") <= F.col("price")
+    below = F.col("strike") <= F.col("price") if moneyness == "otm" else F.col("strike") >= F.col("price")
+    asked = F.lit(True) if moneyness is None else F.when(call, above).otherwise(below)
+    if days is not None:
+        near = nearest_expiration(chain, days).withColumnRenamed("expiration", "_near")
+        chain = chain.join(near, "underlying")
+        asked = asked & (F.col("expiration") == F.col("_near"))
+    agg = chain.groupBy(*by).agg(F.sum(F.when(asked & call, value)).alias("c"), F.sum(F.when(asked & ~call, value)).alias("p"), F.sum(value).alias("all"))
+    agg = agg.withColumn("all", F.sum("all").over(Window.partitionBy(*whole)))
     c, p = F.nullif(F.col("c"), F.lit(0)), F.nullif(F.col("p"), F.lit(0))
     total = F.nullif(F.coalesce("c", F.lit(0)) + F.coalesce("p", F.lit(0)), F.lit(0))
-    out = agg.select(*by, c.alias("calls"), p.alias("puts"), total.alias("total"), F.round(p / c, 4).alias("pcr"), F.round((F.coalesce("c", F.lit(0)) - F.coalesce("p", F.lit(0))) / total * 100, 4).alias("net_percent"))
+    out = agg.select(*by, c.alias("calls"), p.alias("puts"), total.alias("total"), F.round(p / c, 4).alias("pcr"), F.round(F.try_divide(total, F.col("all")) * 100, 4).alias("net_percent"))
     return out.where("calls IS NOT NULL OR puts IS NOT NULL")
 
 
 def grouping(chain: DataFrame, measure: str) -> DataFrame:
-    """Total, per expiration and per strike in one pass: grouping sets, told apart by ``level``."""
-    call = F.col("option_type") == "call"
-    sets = chain.groupingSets([["underlying"], ["underlying", "expiration"], ["underlying", "strike"]], "underlying", "expiration", "strike")
-    agg = sets.agg(F.grouping_id().alias("g"), F.sum(F.when(call, F.col(measure)).otherwise(0)).alias("calls"), F.sum(F.when(~call, F.col(measure)).otherwise(0)).alias("puts"))
+    """Total, per expiration and per strike in one pass: grouping sets, told apart by ``level``; exposures without their sign."""
+    call, value = F.col("option_type") == "call", magnitude(measure)
+    sets = chain.withColumn("_v", value).groupingSets([["underlying"], ["underlying", "expiration"], ["underlying", "strike"]], "underlying", "expiration", "strike")
+    agg = sets.agg(F.grouping_id().alias("g"), F.sum(F.when(call, F.col("_v")).otherwise(0)).alias("calls"), F.sum(F.when(~call, F.col("_v")).otherwise(0)).alias("puts"))
     level = F.when(F.col("g") == 3, "total").when(F.col("g") == 1, "expiration").otherwise("strike")
     return agg.select("underlying", level.alias("level"), "expiration", "strike", "calls", "puts", (F.col("calls") + F.col("puts")).alias("total"))
 

@@ -26,8 +26,8 @@ def chain(spark, d):
     )
 
 
-@query(f"""WITH {CHAIN} SELECT contract_symbol, {r("CASE option_type WHEN 'call' THEN strike + ask ELSE strike - ask END", "breakeven")}, CAST(floor(delta * 100 * open_interest * price) AS BIGINT) AS dex,
-    CAST(floor((CASE option_type WHEN 'call' THEN 1 ELSE -1 END) * (gamma * 100 * open_interest * price * price * 0.01)) AS BIGINT) AS gex FROM chain""")
+@query(f"""WITH {CHAIN} SELECT contract_symbol, {r("CASE option_type WHEN 'call' THEN strike + ask ELSE strike - ask END", "breakeven")}, CAST(trunc(delta * 100 * open_interest * price) AS BIGINT) AS dex,
+    CAST(trunc((CASE option_type WHEN 'call' THEN 1 ELSE -1 END) * (gamma * 100 * open_interest * price * price * 0.01)) AS BIGINT) AS gex FROM chain""")
 def options_enrich(spark, d):
     return rounded(op.enrich(chain(spark, d)).select("contract_symbol", "breakeven", "dex", "gex"))
 
@@ -37,13 +37,22 @@ def options_facts(spark, d):
     return op.facts(chain(spark, d))
 
 
-@query(f"""WITH {CHAIN}, g AS (SELECT underlying, expiration, sum(open_interest) FILTER (WHERE option_type = 'call') AS c, sum(open_interest) FILTER (WHERE option_type = 'put') AS p FROM chain GROUP BY 1, 2)
+@query(f"""WITH {CHAIN}, g AS (SELECT underlying, expiration, sum(open_interest) FILTER (WHERE option_type = 'call') AS c, sum(open_interest) FILTER (WHERE option_type = 'put') AS p FROM chain GROUP BY 1, 2), t AS (SELECT underlying, sum(open_interest) AS whole FROM chain GROUP BY 1)
     SELECT underlying, expiration, CAST(nullif(c, 0) AS BIGINT) AS calls, CAST(nullif(p, 0) AS BIGINT) AS puts, CAST(nullif(coalesce(c, 0) + coalesce(p, 0), 0) AS BIGINT) AS total, round(nullif(p, 0) / nullif(c, 0), 4) AS pcr,
-           round((coalesce(c, 0) - coalesce(p, 0)) / nullif(coalesce(c, 0) + coalesce(p, 0), 0) * 100, 4) AS net_percent FROM g WHERE nullif(c, 0) IS NOT NULL OR nullif(p, 0) IS NOT NULL""")
+           round(nullif(coalesce(c, 0) + coalesce(p, 0), 0) / whole * 100, 4) AS net_percent FROM g JOIN t USING (underlying) WHERE nullif(c, 0) IS NOT NULL OR nullif(p, 0) IS NOT NULL""")
 def options_by_expiration(spark, d):
     return op.by_group(chain(spark, d), ["underlying", "expiration"], "open_interest")
 
 
+@query(f"""WITH {CHAIN}, e AS (SELECT *, abs(CAST(trunc(delta * 100 * open_interest * price) AS BIGINT)) AS dex FROM chain), t AS (SELECT underlying, sum(dex) AS whole FROM e GROUP BY 1),
+    g AS (SELECT underlying, strike, sum(dex) FILTER (WHERE option_type = 'call') AS c, sum(dex) FILTER (WHERE option_type = 'put') AS p FROM e WHERE (option_type = 'call' AND strike >= price) OR (option_type = 'put' AND strike <= price) GROUP BY 1, 2)
+    SELECT underlying, strike, CAST(nullif(c, 0) AS BIGINT) AS calls, CAST(nullif(p, 0) AS BIGINT) AS puts, CAST(nullif(coalesce(c, 0) + coalesce(p, 0), 0) AS BIGINT) AS total, round(nullif(p, 0) / nullif(c, 0), 4) AS pcr,
+           round(nullif(coalesce(c, 0) + coalesce(p, 0), 0) / whole * 100, 4) AS net_percent FROM g JOIN t USING (underlying) WHERE nullif(c, 0) IS NOT NULL OR nullif(p, 0) IS NOT NULL""")
+def options_exposure_by_strike(spark, d):
+    """Delta exposure out of the money, by strike, in percent of the whole chain's."""
+    return op.by_group(op.enrich(chain(spark, d)), ["underlying", "strike"], "dex", moneyness="otm")
+
+
 @query(f"""WITH {CHAIN} SELECT underlying, CASE grouping_id(expiration, strike) WHEN 3 THEN 'total' WHEN 1 THEN 'expiration' ELSE 'strike' END AS level, expiration, strike,
     CAST(sum(CASE option_type WHEN 'call' THEN volume ELSE 0 END) AS BIGINT) AS calls, CAST(sum(CASE option_type WHEN 'put' THEN volume ELSE 0 END) AS BIGINT) AS puts, CAST(sum(volume) AS BIGINT) AS total
     FROM chain GROUP BY GROUPING SETS ((underlying), (underlying, expiration), (underlying, strike))""")
