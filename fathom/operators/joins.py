@@ -31,16 +31,18 @@ def asof_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str], left_on:
     """As :func:`asof`, for keys whose rows are too many for one task: work is cut by (key, time bucket).
 
     Each bucket's last right row is carried over whole buckets on a small table; inside a bucket the stacked
-    window runs over that bucket's rows alone. Right rows of one time should be unique.
+    window runs over that bucket's rows alone. Whole rows are carried, so a null value of the latest row stays null. Right rows
+    of one time should be unique.
     """
     at = lambda c: F.date_trunc(bucket, F.col(c))
     latest = right.groupBy(*by, at(right_on).alias("_b")).agg(F.max_by(F.struct(*values), right_on).alias("_last"))
     buckets = left.select(*by, at(left_on).alias("_b")).distinct().withColumn("_last", F.lit(None).cast(latest.schema["_last"].dataType)).withColumn("_need", F.lit(1))
     w = Window.partitionBy(*by).orderBy("_b", F.col("_need").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = buckets.unionByName(latest.withColumn("_need", F.lit(0))).withColumn("_carry", F.last("_last", ignorenulls=True).over(w)).where("_need = 1").select(*by, "_b", "_carry")
-    inner = asof(left.withColumn("_b", at(left_on)), right.withColumn("_b", at(right_on)), [*by, "_b"], left_on, right_on, values)
-    out = inner.join(carry, [*by, "_b"], "left")
-    return out.select(*left.columns, *(F.coalesce(F.col(v), F.col(f"_carry.{v}")).alias(v) for v in values))
+    rows = right.withColumns({"_b": at(right_on), "_met": F.struct(*values)})
+    inner = asof(left.withColumn("_b", at(left_on)), rows, [*by, "_b"], left_on, right_on, ["_met"])
+    out = inner.join(carry, [*by, "_b"], "left").withColumn("_met", F.coalesce("_met", "_carry"))
+    return out.select(*left.columns, *(F.col(f"_met.{v}").alias(v) for v in values))
 
 
 def asof_or_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, value: str) -> DataFrame:
@@ -57,11 +59,16 @@ def known_at(df: DataFrame, by: Sequence[str], known: str, clock, order: Sequenc
 
 
 def bitemporal(left: DataFrame, right: DataFrame, on: Sequence[str], left_valid: str, right_valid: str, right_known: str, decided: str, value: str) -> DataFrame:
-    """The right row of the key that is latest by valid time, valid and known by the left row's decision time."""
+    """The right row of the key that is latest by valid time, valid and known by the left row's decision time.
+
+    Equal left rows are met once and come back as often as they are there.
+    """
     keys = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on]
-    l, r = left.withColumn("_id", F.xxhash64(*left.columns)).alias("l"), right.alias("r")
+    l, r = left.groupBy(*left.columns).agg(F.count("*").cast("int").alias("_times")).alias("l"), right.alias("r")
     met = l.join(r, [*keys, F.col(f"r.{right_valid}") <= F.col(f"l.{left_valid}"), F.col(f"r.{right_known}") <= F.col(f"l.{decided}")], "left")
-    return met.groupBy(*(F.col(f"l.{c}").alias(c) for c in left.columns)).agg(F.max_by(F.col(f"r.{value}"), F.struct(f"r.{right_valid}", f"r.{right_known}", f"r.{value}")).alias(value))
+    latest = F.max_by(F.col(f"r.{value}"), F.struct(f"r.{right_valid}", f"r.{right_known}", f"r.{value}"))
+    one = met.groupBy(*(F.col(f"l.{c}").alias(c) for c in [*left.columns, "_times"])).agg(latest.alias(value))
+    return one.select(*left.columns, value, F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_n")).drop("_n")
 
 
 def validated_left(left: DataFrame, right: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
