@@ -3,21 +3,81 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import string
+import uuid
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-STOP_WORDS = frozenset(("a", "an", "and", "for", "in", "of", "on", "or", "the", "to"))
+from fathom.session import scratch
+
+# The words that a search leaves out.
+STOP_WORDS = frozenset(("of", "the", "a", "an", "is", "are", "in", "on", "for", "with", "and", "or"))
+#: Functions that a text may call. None of them reaches beyond its arguments.
+ALLOWED = frozenset(
+    """abs add_months any any_value array array_contains ascii avg between bool_and bool_or cardinality cast ceil ceiling char_length coalesce concat concat_ws contains
+    corr count count_if covar_pop covar_samp date date_add date_diff date_format date_sub date_trunc datediff day dayofmonth dayofweek dayofyear dense_rank double element_at endswith every exp
+    first first_value floor greatest hour if ifnull ilike in initcap int isnan isnotnull isnull kurtosis lag last last_day last_value lcase lead least left len length like ln log log10 log2 lower
+    lpad ltrim max max_by mean median min min_by minute mod month months_between nanvl now ntile nullif nvl nvl2 percent_rank percentile percentile_approx pmod position pow power quarter rank regexp_extract
+    regexp_like regexp_replace replace reverse right rlike round row_number rpad rtrim second sign signum size skewness split sqrt startswith std stddev stddev_pop stddev_samp string
+    struct substr substring sum timestamp to_date to_timestamp trim trunc try_cast try_divide ucase upper var_pop var_samp variance weekday weekofyear year || % * + - / < <= <=> <> = == > >= != & | ^ ~ ! div not and or""".split()
+)
+#: Parts of a query that a text may have.
+PLANS = frozenset("UnresolvedRelation Project Filter Aggregate Sort Distinct GlobalLimit LocalLimit Offset SubqueryAlias UnresolvedHaving UnresolvedSubqueryColumnAliases WithWindowDefinition Join".split())
+
+
+class Refused(ValueError):
+    """A text that asks for what it may not have."""
+
+
+def parts(found) -> Iterator:
+    """The members of a sequence of Spark's."""
+    for i in range(found.size()):
+        yield found.apply(i)
+
+
+def check_expression(expr) -> None:
+    """Refuse functions that are not allowed, and queries within an expression."""
+    kind = expr.getClass().getSimpleName()
+    if kind == "UnresolvedFunction":
+        name = expr.nameParts().mkString(".").lower()
+        if name not in ALLOWED:
+            raise Refused(f"the function {name!r} is not allowed")
+    elif "Subquery" in kind or kind in ("Exists", "ListQuery", "CallMethodViaReflection", "TryReflect"):
+        raise Refused("a query within an expression is not allowed")
+    for child in parts(expr.children()):
+        check_expression(child)
+
+
+def check_plan(plan, name: str) -> None:
+    """Refuse whatever reads another table than ``name``, and functions as above."""
+    kind = plan.getClass().getSimpleName()
+    if kind not in PLANS:
+        raise Refused(f"{kind} is not allowed")
+    if kind == "UnresolvedRelation" and plan.multipartIdentifier().mkString(".").lower() != name.lower():
+        raise Refused(f"only the table {name!r} may be read")
+    for expr in parts(plan.expressions()):
+        check_expression(expr)
+    for child in parts(plan.children()):
+        check_plan(child, name)
+
+
+def parser(spark: SparkSession):
+    return spark._jsparkSession.sessionState().sqlParser()
 
 
 def parse_search(text: str) -> list[list[str]]:
-    """Alternatives of terms: ``|`` is or, space and ``+`` are and, quotes make phrases; signs and stop words go."""
+    """Alternatives of terms: ``|`` is or, space and ``+`` are and, quotes make phrases, taken as they stand.
+
+    Other terms lose the punctuation at their ends, and stop words go. What follows a quote that nothing closes is left out.
+    """
     out = []
     for part in text.lower().split("|"):
-        terms = [(a or b) for a, b in re.findall(r'"([^"]*)"|([^\s+"]+)', part)]
-        terms = [re.sub(r"[^\w\s]", "", t).strip() for t in terms]
-        if kept := [t for t in terms if t and t not in STOP_WORDS]:
+        if part.count('"') % 2:
+            part = part[: part.rindex('"')]
+        terms = [quoted or plain.strip(string.punctuation) for quoted, plain in re.findall(r'"([^"]*)"|([^\s+"]+)', part) if quoted or plain.strip(string.punctuation) not in STOP_WORDS]
+        if kept := [t for t in terms if t]:
             out.append(kept)
     return out
 
@@ -35,13 +95,21 @@ def search(text: str, columns: Sequence[str]) -> Column:
 
 
 def where_text(df: DataFrame, expression: str) -> DataFrame:
-    """Rows by a SQL expression over the table's columns: parsed by Spark, never run as Python."""
+    """Rows by a SQL expression over the table's columns: parsed first, and refused if it calls what is not in ``ALLOWED``."""
+    check_expression(parser(df.sparkSession).parseExpression(expression))
     return df.where(F.expr(expression))
 
 
 def over_view(df: DataFrame, sql: str, name: str = "df") -> DataFrame:
-    """A SQL query over the table, which it calls ``df``."""
-    return df.sparkSession.sql(sql.replace("{", "{{").replace("}", "}}").replace(f" {name}", " {" + name + "}"), **{name: df})
+    """A SQL query over the table, which it calls ``df``; other tables, files and functions that are not allowed are refused."""
+    spark = df.sparkSession
+    check_plan(parser(spark).parsePlan(sql), name)
+    view = f"fathom_{uuid.uuid4().hex}"
+    df.createTempView(view)
+    try:
+        return spark.sql(f"WITH {name} AS (SELECT * FROM {view}) {sql}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def report_filter(df: DataFrame, date: str, start, end, terms: Sequence[str], columns: Sequence[str], limit: int | None = None) -> DataFrame:
@@ -63,7 +131,10 @@ def recent_distinct(df: DataFrame, columns: Sequence[str], date: str, weeks: int
 
 
 def dimensions(df: DataFrame, names: Sequence[str], key: str, time: str | None = None, start=None, end=None, last: int | None = None) -> DataFrame:
-    """Rows by a dotted key: one part a dimension, ``*`` or nothing for all, ``a+b`` for several; a time range and the last n of each series."""
+    """Rows by a dotted key: one part a dimension, ``*`` or nothing for all, ``a+b`` for several; a time range and the last n of each series.
+
+    Rows of one time stand in the order of their columns.
+    """
     parts = key.split(".")
     if len(parts) != len(names):
         raise ValueError(f"the key needs {len(names)} parts: {', '.join(names)}")
@@ -75,7 +146,8 @@ def dimensions(df: DataFrame, names: Sequence[str], key: str, time: str | None =
     if end is not None:
         df = df.where(F.col(time) <= end)
     if last:
-        rank = F.row_number().over(Window.partitionBy(*names).orderBy(F.col(time).desc()))
+        ties = [c for c, kind in df.dtypes if c != time and "map<" not in kind and kind != "variant"]
+        rank = F.row_number().over(Window.partitionBy(*names).orderBy(F.col(time).desc(), *ties))
         df = df.withColumn("_n", rank).where(F.col("_n") <= last).drop("_n")
     return df
 
@@ -86,13 +158,16 @@ def impossible(wanted: DataFrame, allowed: DataFrame, names: Sequence[str]) -> D
 
 
 def positions_report(df: DataFrame, base: dict[str, str], percents: Sequence[str], date: str, last: int) -> DataFrame:
-    """Columns equal to their base on every row go, percentages become parts, and only the last ``last`` dates stay.
+    """Columns equal to their base on every row go, as do numbers that are zero or null throughout; percentages become parts.
 
-    One aggregation tells which columns repeat their base and which are zero throughout.
+    Only the last ``last`` dates stay. One aggregation tells which columns go; of an empty table none.
     """
+    numbers = [c for c, kind in df.dtypes if c != date and (kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"))]
     tests = {c: F.bool_and(F.col(c).eqNullSafe(F.col(b))) for c, b in base.items()}
-    row = df.agg(*(t.alias(c) for c, t in tests.items())).first()
-    df = df.drop(*(c for c in base if row[c])).withColumns({c: F.col(c) / 100 for c in percents})
+    zero = {f"0 {c}": F.bool_and(F.coalesce(F.col(c), F.lit(0)) == 0) for c in numbers}
+    row = df.agg(*(t.alias(c) for c, t in (tests | zero).items())).first()
+    gone = {c for c in base if row[c]} | {c for c in numbers if row[f"0 {c}"]}
+    df = df.drop(*gone).withColumns({c: F.col(c) / 100 for c in percents if c not in gone})
     return latest_dates(df, date, last)
 
 
@@ -111,14 +186,28 @@ def indicator_pivot(df: DataFrame, keys: Sequence[str], date: str, dates: Sequen
     return wide.where(some)
 
 
-def ordered_tree(df: DataFrame, ident: str, parent: str, title: str, depth: int = 8) -> DataFrame:
-    """Each node with its level and the path of titles above it, by ``depth`` self-joins at most."""
-    level = df.where(F.col(parent).isNull()).select(F.col(ident).alias("id"), F.lit(0).alias("level"), F.col(title).alias("path"))
-    out = level
-    for k in range(1, depth):
-        level = df.join(level.select(F.col("id").alias("_p"), F.col("path").alias("_path")), F.col(parent) == F.col("_p")).select(F.col(ident).alias("id"), F.lit(k).alias("level"), F.concat("_path", F.lit(" / "), F.col(title)).alias("path"))
+def ordered_tree(df: DataFrame, ident: str, parent: str, title: str) -> DataFrame:
+    """Each node that a root leads to, with its level and the path of titles above it.
+
+    One join a level, over levels that are written, until one is empty. A node is not met again below itself, so rows that
+    name each other as parents end.
+    """
+    spark, nodes = df.sparkSession, df.select(F.col(ident).alias("id"), F.col(parent).alias("parent"), F.col(title).alias("title"))
+
+    def kept(level: DataFrame) -> DataFrame:
+        path = scratch(spark, "tree")
+        level.write.parquet(path)
+        return spark.read.schema(level.schema).parquet(path)
+
+    level = kept(nodes.where("parent IS NULL").select("id", F.lit(0).alias("level"), F.col("title").alias("path"), F.array("id").alias("above")))
+    out, k = level, 0
+    while not level.isEmpty():
+        k += 1
+        up = level.select(F.col("id").alias("parent"), F.col("path").alias("_path"), "above")
+        met = nodes.join(up, "parent").where(~F.array_contains("above", F.col("id")))
+        level = kept(met.select("id", F.lit(k).alias("level"), F.concat("_path", F.lit(" / "), F.col("title")).alias("path"), F.concat("above", F.array("id")).alias("above")))
         out = out.unionByName(level)
-    return out
+    return out.select("id", "level", "path")
 
 
 def chunked(df: DataFrame, symbol: str, size: int) -> DataFrame:
