@@ -35,6 +35,43 @@ def rolling(df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Colu
     return made.where("NOT _halo").drop("_o", "_block", "_halo")
 
 
+def spread(df: DataFrame, column: str, name: str, rows: int = 1_000_000) -> DataFrame | None:
+    """Adds a bucket that rises with a number or time, of about ``rows`` rows each (256 to 4096 buckets); None for other types.
+
+    The cuts are approximate percentiles: a bounded few numbers that come to the driver.
+    """
+    kind = dict(df.dtypes)[column]
+    if kind not in ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz") and not kind.startswith("decimal"):
+        return None
+    value = (F.unix_micros(F.col(column).cast("timestamp")) if kind.startswith(("date", "timestamp")) else F.col(column)).cast("double")
+    bits = min(12, max(8, (df.count() // rows).bit_length()))
+    found = df.agg(F.percentile_approx(value, [i / (1 << bits) for i in range(1, 1 << bits)], 1 << (bits + 4))).first()[0]
+    cuts = F.array(*map(F.lit, sorted(set(found or [0.0]))))
+    # How many of the sorted cuts lie below, one halving after another. Null, which sorts first, is above none.
+    df = df.withColumn(name, F.lit(0))
+    for width in (1 << i for i in reversed(range(bits))):
+        df = df.withColumn(name, F.when(F.try_element_at(cuts, F.col(name) + width) < value, F.col(name) + width).otherwise(F.col(name)))
+    return df
+
+
+def lagged(df: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, lags: int, rows: int = 100_000) -> DataFrame:
+    """Adds ``_l1`` ... ``_l<lags>``, the values of the rows before in order (null before the start), in blocks with a halo.
+
+    Where the first column of the order is neither a number nor a time, one window goes over the whole series.
+    """
+    df = df.withColumn("_x", value)
+    cut = spread(df, order[0], "_cut")
+    if cut is None:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumns({f"_l{i}": F.lag("_x", i).over(w) for i in range(1, lags + 1)}).drop("_x")
+    rows = max(rows, lags + 1)
+    cut = numbered(cut, by, order, F.col("_cut")).withColumn("_block", F.floor(F.col("_o") / rows))
+    halo = cut.where(F.col("_o") % rows >= rows - lags).withColumns({"_block": F.col("_block") + 1, "_halo": F.lit(True)})
+    w = Window.partitionBy(*by, "_block").orderBy("_o")
+    made = cut.withColumn("_halo", F.lit(False)).unionByName(halo).withColumns({f"_l{i}": F.lag("_x", i).over(w) for i in range(1, lags + 1)})
+    return made.where("NOT _halo").drop("_x", "_o", "_block", "_halo", "_cut")
+
+
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Column, value: Column, name: str) -> DataFrame:
     """Sum of all rows so far: the sum within the bucket on top of that of all buckets before."""
     df = df.withColumns({"_b": bucket, "_v": value})

@@ -93,7 +93,7 @@ def granger(y: np.ndarray, x: np.ndarray, lag: int) -> dict[str, float]:
 
 
 def shapiro(x: np.ndarray) -> tuple[float, float]:
-    """Shapiro-Wilk W and p by Royston's (1995) approximation, for 12 to 5000 values."""
+    """Shapiro-Wilk W and p by Royston's (1995) approximation, for 12 values or more; fitted up to 5000, so that p is rough beyond."""
     x = np.sort(x)
     n = len(x)
     m = np.array([normal_quantile((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathom.functions.blocks import lagged
 from fathom.functions import timeseries as ts
 from fathom.functions.distributions import chi2_upper, f_upper, t_two_sided
 from fathom.functions.windows import ordered
@@ -99,9 +100,8 @@ def residual(fit: Fit, y: str) -> Column:
 
 def durbin_watson(df: DataFrame, fit: Fit, y: str, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Sum of squared steps of the residuals over their sum of squares, in order."""
-    w = ordered(by, order)
-    rows = df.withColumn("_e", residual(fit, y))
-    step = rows.withColumn("_d", F.col("_e") - F.lag("_e").over(w))
+    rows = lagged(df.withColumn("_e", residual(fit, y)).select(*dict.fromkeys([*by, *order]), "_e"), by, order, F.col("_e"), 1)
+    step = rows.withColumn("_d", F.col("_e") - F.col("_l1"))
     return step.agg((F.sum(F.col("_d") * F.col("_d")) / F.sum(F.col("_e") * F.col("_e"))).alias("durbin_watson"))
 
 
@@ -121,10 +121,9 @@ def summary(df: DataFrame, y: str, xs: Sequence[str], order: Sequence[str]) -> D
 
 def breusch_godfrey(df: DataFrame, y: str, xs: Sequence[str], order: Sequence[str], lags: int = 1) -> DataFrame:
     """LM and F tests of residual autocorrelation: an auxiliary regression on the residuals' past, zero before the start."""
-    w = ordered([], order)
     fit = ols(df, y, xs)
-    rows = df.withColumn("_e", residual(fit, y))
-    rows = rows.withColumns({f"_l{i}": F.coalesce(F.lag("_e", i).over(w), F.lit(0.0)) for i in range(1, lags + 1)})
+    rows = lagged(df.withColumn("_e", residual(fit, y)).select(*dict.fromkeys([*order, *xs]), "_e"), [], order, F.col("_e"), lags)
+    rows = rows.withColumns({f"_l{i}": F.coalesce(f"_l{i}", F.lit(0.0)) for i in range(1, lags + 1)})
     g = gram(rows, "_e", [*xs, *(f"_l{i}" for i in range(1, lags + 1))])
     aux, base = solve(g), float(g.yy)
     lm = g.n * (1 - aux.rss / base)
@@ -239,11 +238,11 @@ def unit_root_and_kpss(df: DataFrame, by: Sequence[str], order: Sequence[str], x
 
 
 def normality(df: DataFrame, by: Sequence[str], x: str) -> DataFrame:
-    """Kurtosis, skew and Jarque-Bera by aggregation; Shapiro-Wilk (12 to 5000 values) and Kolmogorov-Smirnov per series."""
+    """Kurtosis, skew and Jarque-Bera by aggregation; Shapiro-Wilk (from 12 values; its p is approximate beyond 5000) and Kolmogorov-Smirnov per series."""
 
     def run(rows: pd.DataFrame) -> dict:
         v = rows[x].dropna().to_numpy(float)
-        w, wp = ts.shapiro(v) if 12 <= len(v) <= 5000 else (None, None)
+        w, wp = ts.shapiro(v) if len(v) >= 12 else (None, None)
         d, dp = ts.ks_normal(v)
         return {"shapiro": w, "shapiro_p": wp, "ks": d, "ks_p": dp}
 
