@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -59,16 +60,24 @@ def upsert_partitions(changes: DataFrame, path: str, key: Sequence[str], partiti
 
 
 def append_new(df: DataFrame, path: str, key: Sequence[str]) -> None:
-    """Appends the rows whose key the table lacks: a batch that is sent again adds nothing."""
+    """Appends the rows whose key the table lacks: a batch that is sent again adds nothing, and of a key's rows in a batch one is taken."""
     there = df.sparkSession.read.parquet(path).select(*key)
-    df.join(there, list(key), "left_anti").select(*df.columns).write.mode("append").parquet(path)
+    df.dropDuplicates(list(key)).join(there, list(key), "left_anti").select(*df.columns).write.mode("append").parquet(path)
 
 
 def content_addressed(df: DataFrame, folder: str) -> str:
-    """Writes the table below a name that is its digest, and returns the path; what is there already is kept."""
-    digest = content_digest(df, df.columns).first()
-    path = f"{folder}/{digest['digest'] if digest else 'empty'}"
-    df.write.mode("ignore").option("compression", "zstd").parquet(path)
+    """Writes the table below a name that is its digest, and returns the path; what is there already is kept.
+
+    The table is written under another name and then renamed, so that a name is only ever that of a whole table.
+    """
+    spark, digest = df.sparkSession, content_digest(df, df.columns).first()
+    path = f"{folder}/{digest['digest'] if digest['rows'] else 'empty'}"
+    target, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}.tmp"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        df.write.option("compression", "zstd").parquet(aside.toString())
+        if fs.exists(target) or not fs.rename(aside, target):  # another writer was first, with the same rows
+            fs.delete(aside, True)
     return path
 
 
