@@ -28,6 +28,11 @@ def zero_as_null(x: Column) -> Column:
     return F.nullif(F.nanvl(x, F.lit(None).cast("double")), F.lit(0.0))
 
 
+def ln(value: Column) -> Column:
+    """The natural logarithm: minus infinity of zero, NaN of what is below."""
+    return F.when(value == 0, F.lit(float("-inf"))).when(value < 0, F.lit(float("nan"))).otherwise(F.ln(value))
+
+
 def half_even(x: Column, places: int) -> Column:
     return F.bround(x, places)
 

@@ -70,6 +70,8 @@ def project_rename(spark, d):
     return fl.project(df, ["id", "name", "balance"])
 
 
+#: Rounded as a decimal number, as the engine does: in binary a tie may fall either way.
+DECIMAL = "CAST(round(CAST(CAST({0} * k AS VARCHAR) AS DECIMAL(38, 20)), 6) AS DOUBLE) AS {0}"
 ADJUST = f"{BARS}, a AS (SELECT *, CASE WHEN volume = 1 THEN NULL WHEN volume = 2 THEN 0.0 ELSE 1.0 / volume END AS k FROM bars)"
 
 
@@ -78,7 +80,7 @@ def factored(spark, d):
     return bars(spark, d).withColumn("k", F.when(v == 2, 0.0).when(v > 2, 1.0 / v)).withColumn("vwap", F.col("close"))
 
 
-@query(f"WITH {ADJUST} SELECT symbol, ts, {r('open * k', 'open')}, {r('high * k', 'high')}, {r('low * k', 'low')}, {r('close * k', 'close')}, CAST(NULL AS DOUBLE) AS vwap FROM a WHERE k > 0")
+@query(f"WITH {ADJUST} SELECT symbol, ts, {DECIMAL.format('open')}, {DECIMAL.format('high')}, {DECIMAL.format('low')}, {DECIMAL.format('close')}, CAST(NULL AS DOUBLE) AS vwap FROM a WHERE k > 0")
 def adjust_basis(spark, d):
     return rounded(fl.adjusted(factored(spark, d).where("k > 0"), "split", {"split": "k"}).select("symbol", "ts", "open", "high", "low", "close", "vwap"))
 

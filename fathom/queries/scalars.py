@@ -38,10 +38,10 @@ def time_slots(spark, d):
     return table(spark, d, "events").select("event_id", sc.slot_of(F.col("ts"), F.lit("2024-01-01").cast("timestamp_ntz"), 900).alias("slot"), F.window("ts", "15 minutes").start.cast("timestamp_ntz").alias("bucket"))
 
 
-@query(f"SELECT event_id, {r('ln(value)', 'l')}, {r('sqrt(value)', 's')}, {r('exp(-value / 100)', 'e')}, {r('abs(value - 50)', 'a')}, round_even(value, 1) AS h, {r('greatest(least(value, 90), 10)', 'clip')}, {r('power(value, 1.5)', 'p', 4)}, sign(value - 50) AS sg FROM events".replace("sign(value - 50) AS sg", "CAST(sign(value - 50) AS DOUBLE) AS sg"))
+@query(f"SELECT event_id, {r("CASE WHEN value = 0 THEN '-Infinity'::DOUBLE ELSE ln(value) END", 'l')}, {r('sqrt(value)', 's')}, {r('exp(-value / 100)', 'e')}, {r('abs(value - 50)', 'a')}, round_even(value, 1) AS h, {r('greatest(least(value, 90), 10)', 'clip')}, {r('power(value, 1.5)', 'p', 4)}, sign(value - 50) AS sg FROM events".replace("sign(value - 50) AS sg", "CAST(sign(value - 50) AS DOUBLE) AS sg"))
 def math_functions(spark, d):
     v = F.col("value")
-    df = table(spark, d, "events").select("event_id", F.ln(v).alias("l"), F.sqrt(v).alias("s"), F.exp(-v / 100).alias("e"), F.abs(v - 50).alias("a"), sc.half_even(v, 1).alias("h"), F.greatest(F.least(v, F.lit(90.0)), F.lit(10.0)).alias("clip"), F.round(F.pow(v, F.lit(1.5)), 4).alias("p"), F.signum(v - 50).alias("sg"))
+    df = table(spark, d, "events").select("event_id", sc.ln(v).alias("l"), F.sqrt(v).alias("s"), F.exp(-v / 100).alias("e"), F.abs(v - 50).alias("a"), sc.half_even(v, 1).alias("h"), F.greatest(F.least(v, F.lit(90.0)), F.lit(10.0)).alias("clip"), F.round(F.pow(v, F.lit(1.5)), 4).alias("p"), F.signum(v - 50).alias("sg"))
     return rounded(df)
 
 
@@ -116,11 +116,12 @@ def registered_column(spark, d):
     return rounded(udf.apply(bars(spark, d), "typical_price").select("symbol", "ts", "typical_price"))
 
 
-@query("SELECT page_id, 0 AS tables FROM pages WHERE html NOT LIKE '%<table%'")
+@query("SELECT page_id, CAST(len(regexp_extract_all(lower(html), '<table[\\s>]')) AS INT) AS tables FROM pages")
 def html_table_scan(spark, d):
+    """The number of tables of every page."""
     pages = table(spark, d, "pages")
     found = readers.html_tables(pages, "page_id", "html").groupBy("page_id").agg(F.count_distinct("table").cast("int").alias("tables"))
-    return pages.select("page_id").join(found, "page_id", "left").select("page_id", F.coalesce("tables", F.lit(0)).alias("tables")).where("tables = 0")
+    return pages.select("page_id").join(found, "page_id", "left").select("page_id", F.coalesce("tables", F.lit(0)).alias("tables"))
 
 
 @query()
