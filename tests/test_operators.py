@@ -115,6 +115,7 @@ def test_indicators_keep_series_apart(spark):
 def test_search_syntax():
     assert lang.parse_search('Oil and "crude price"|gas+the+flow!') == [["oil", "crude price"], ["gas", "flow"]]
     assert lang.parse_search("the of") == []
+    assert lang.parse_search('gdp with trade to U.S. "Is the " "" (x) | "open end') == [["gdp", "trade", "to", "u.s", "is the ", "x"]]
 
 
 def test_sets_and_pages(spark):
@@ -143,7 +144,7 @@ def test_every_quoted_contract_is_priced_and_solved(spark):
     american = qp.QUERIES["american_options"](spark, d).toPandas().set_index("contract_symbol").sort_index()
     assert list(american.index) == list(quoted.index) and set(quoted["option_type"]) == {"call", "put"}
     assert (american["american"] >= quoted["theo"] - 0.5).all()
-    got = qp.QUERIES["implied_volatility_whole"](spark, d).toPandas().set_index("contract_symbol").sort_index()["implied_vol"]
+    got = qp.QUERIES["implied_volatility"](spark, d).toPandas().set_index("contract_symbol").sort_index()["implied_vol"]
     assert list(got.index) == list(quoted.index) and (abs(quoted["strike"] / quoted["spot"] - 1) >= 0.1).any()
     for name, q in quoted.iterrows():
         price = lambda v, q=q: pr.bs_price(*(np.array([x]) for x in (q["spot"], q["strike"], q["years"], q["rate"], q["dividend"], v)), 1.0 if q["option_type"] == "call" else -1.0)[0][0]
@@ -164,7 +165,7 @@ def test_set_equality_sees_late_orders(spark, tmp_path):
 
     spark.createDataFrame([(1, 1), (2_000_000, 2), (2_000_001, 9)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     spark.createDataFrame([(1,), (2,), (3,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
-    assert sorted(tuple(r) for r in QUERIES["set_equality_whole"](spark, str(tmp_path)).collect()) == [(3, "right"), (9, "left")]
+    assert sorted(tuple(r) for r in QUERIES["set_equality"](spark, str(tmp_path)).collect()) == [(3, "right"), (9, "left")]
 
 
 def test_dimension_constraints_see_all_events(spark, tmp_path):
@@ -173,4 +174,90 @@ def test_dimension_constraints_see_all_events(spark, tmp_path):
     rows = [(2_000, "2024-01-03", 1, "a"), (9_000, "2024-01-04", 1, "b"), (3_000, "2024-01-20", 1, "a"), (100, "2024-01-21", 2, "c")]
     events = spark.createDataFrame(rows, "event_id long, day string, user_id long, event_type string").select("event_id", F.col("day").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
     events.write.parquet(f"{tmp_path}/events.parquet")
-    assert [tuple(r) for r in QUERIES["dimension_constraints_whole"](spark, str(tmp_path)).collect()] == [(1, "b")]
+    assert [tuple(r) for r in QUERIES["dimension_constraints"](spark, str(tmp_path)).collect()] == [(1, "b")]
+
+
+def test_growth_after_a_lost_account(spark):
+    from fathom.operators import performance as pf
+
+    df = spark.createDataFrame([("a", i, r) for i, r in enumerate([0.1, -1.0, 0.1])] + [("b", 0, 0.5), ("b", 1, None), ("b", 2, -0.5)], "symbol string, date int, ret double")
+    path = {(r["symbol"], r["date"]): (r["growth"], r["drawdown"]) for r in pf.drawdown(df, ["symbol"], ["date"], "ret").collect()}
+    assert [path["a", i] for i in range(3)] == [(pytest.approx(1.1), 0), (0, -1), (0, -1)]
+    assert path["b", 2] == (pytest.approx(0.75), pytest.approx(-0.5))
+    metrics = {r["symbol"]: r["max_drawdown"] for r in pf.series_metrics(df, ["symbol"], ["date"], "ret").collect()}
+    assert metrics == {"a": -1, "b": pytest.approx(-0.5)}
+    nav = {(r["symbol"], r["date"]): r["nav"] for r in pf.nav_history(df, ["symbol"], ["date"], "ret", 75.0).collect()}
+    assert nav["a", 0] is None and nav["b", 0] == pytest.approx(150)
+
+
+def test_exposures_and_chain_statistics(spark):
+    """Exposures are cut off towards zero; statistics add them up without their sign, in percent of the whole chain."""
+    from fathom.operators import options as op
+
+    names = "underlying string, expiration int, dte int, strike double, option_type string, price double, ask double, delta double, gamma double, open_interest int"
+    rows = [("U", 1, 30, 9.0, "call", 10.0, 1.0, 0.7007, 0.01, 1), ("U", 1, 30, 11.0, "put", 10.0, 1.0, -0.7007, 0.019, 1), ("U", 2, 60, 11.0, "call", 10.0, 1.0, 0.3, 0.0, 1), ("U", 2, 60, 12.0, "put", 10.0, 1.0, None, None, 5), ("V", 1, 30, 9.0, "put", 10.0, 1.0, -1.0, 0.0, 3)]
+    chain = op.enrich(spark.createDataFrame(rows, names))
+    got = {(r["underlying"], r["expiration"], r["strike"]): (r["dex"], r["gex"]) for r in chain.collect()}
+    assert got == {("U", 1, 9.0): (700, 1), ("U", 1, 11.0): (-700, -1), ("U", 2, 11.0): (300, 0), ("U", 2, 12.0): (0, 0), ("V", 1, 9.0): (-3000, 0)}
+    stat = {(r["underlying"], r["expiration"]): tuple(r)[2:] for r in op.by_group(chain, ["underlying", "expiration"], "dex").collect()}
+    assert stat == {("U", 1): (700, 700, 1400, 1.0, 82.3529), ("U", 2): (300, None, 300, None, 17.6471), ("V", 1): (None, 3000, 3000, None, 100.0)}
+    otm = {(r["underlying"], r["expiration"]): (r["total"], r["net_percent"]) for r in op.by_group(chain, ["underlying", "expiration"], "dex", moneyness="otm").collect()}
+    assert otm == {("U", 2): (300, 17.6471), ("V", 1): (3000, 100.0)}
+    near = op.by_group(chain, ["underlying", "strike"], "dex", days=55).collect()
+    assert {(r["underlying"], r["strike"], r["net_percent"]) for r in near} == {("U", 11.0, 17.6471), ("V", 9.0, 100.0)}
+
+
+def test_bitemporal_keeps_equal_rows_and_nulls(spark):
+    left = spark.createDataFrame([("a", 5, 5), ("a", 5, 5), (None, 5, 5)], "k string, valid int, decided int")
+    right = spark.createDataFrame([("a", 1, 1, 1.0), ("a", 4, 9, 2.0), ("a", 3, 2, None)], "k string, v int, known int, x double")
+    got = jn.bitemporal(left, right, ["k"], "valid", "v", "known", "decided", "x").collect()
+    assert sorted((r["k"] or "", r["x"]) for r in got if r["k"]) == [("a", None), ("a", None)] and len(got) == 3
+
+
+def test_bucketed_asof_keeps_a_null_value(spark):
+    day = lambda d, h: dt.datetime(2024, 1, d, h)
+    left = spark.createDataFrame([("a", 1, day(1, 9)), ("a", 2, day(2, 9)), ("a", 3, day(2, 1)), ("b", 4, day(2, 1))], "k string, id int, t timestamp_ntz")
+    right = spark.createDataFrame([("a", day(1, 8), 5.0), ("a", day(2, 8), None)], "k string, t timestamp_ntz, v double")
+    want = {r["id"]: r["v"] for r in jn.asof(left, right, ["k"], "t", "t", ["v"]).collect()}
+    assert {r["id"]: r["v"] for r in jn.asof_bucketed(left, right, ["k"], "t", "t", ["v"]).collect()} == want == {1: 5.0, 2: None, 3: 5.0, 4: None}
+
+
+def test_deep_trees_and_loops(spark):
+    rows = [(i, i - 1 if i else None, f"t{i}") for i in range(12)] + [(50, 51, "x"), (51, 50, "y"), (3, 11, "again")]
+    got = lang.ordered_tree(spark.createDataFrame(rows, "id int, parent int, title string"), "id", "parent", "title").collect()
+    assert sorted((r["id"], r["level"]) for r in got) == [(i, i) for i in range(12)]
+    assert max(got, key=lambda r: r["level"])["path"] == " / ".join(f"t{i}" for i in range(12))
+
+
+def test_texts_reach_only_what_they_may(spark):
+    df = spark.createDataFrame([(1, 2, "a"), (5, 6, "b")], "x int, dfx int, s string")
+    assert [r["x"] for r in lang.where_text(df, "x + dfx > 4 AND upper(s) LIKE 'B%' AND x BETWEEN 1 AND 9 AND s IN ('a', 'b')").collect()] == [5]
+    assert [tuple(r) for r in lang.over_view(df, "SELECT dfx, count(*) AS n FROM df WHERE x > 1 GROUP BY dfx HAVING count(*) > 0 ORDER BY dfx LIMIT 3").collect()] == [(6, 1)]
+    for text in ("reflect('java.lang.System', 'getProperty', 'user.home') = ''", "java_method('java.lang.System', 'nanoTime') > 0", "x IN (SELECT 1)", "EXISTS (SELECT 1)", "input_file_name() = ''", "coalesce(reflect('a', 'b'), 'x') = 'x'"):
+        with pytest.raises(lang.Refused):
+            lang.where_text(df, text)
+    for sql in ("SELECT * FROM parquet.`/etc`", "SELECT * FROM other", "SELECT reflect('a', 'b') FROM df", "SELECT * FROM range(3)", "DROP TABLE df", "SELECT x FROM df WHERE x IN (SELECT x FROM other)", "SELECT x FROM df UNION SELECT 1"):
+        with pytest.raises(lang.Refused):
+            lang.over_view(df, sql)
+
+
+def test_reports_drop_zero_columns(spark):
+    df = spark.createDataFrame([(1, 0, None, 5.0, "a"), (2, None, 0.0, 6.0, "b")], "date int, none int, zero double, pct double, name string")
+    got = lang.positions_report(df, {}, ["pct", "zero"], "date", 1)
+    assert got.columns == ["date", "pct", "name"] and [tuple(r) for r in got.collect()] == [(2, 0.06, "b")]
+
+
+def test_last_of_a_series_has_one_answer_on_ties(spark):
+    df = spark.createDataFrame([("a", 1, v) for v in (3, 1, 2)], "s string, t int, v int")
+    assert [r["v"] for r in lang.dimensions(df, ["s"], "a", "t", last=1).collect()] == [1]
+
+
+def test_neighbours_across_blocks(spark):
+    """Residual tests in blocks give what one sorted window gives."""
+    from fathom.functions import blocks
+
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=500)
+    df = spark.createDataFrame([(i // 7, i % 7, float(v)) for i, v in enumerate(values)], "a int, b int, v double").repartition(5)
+    got = blocks.lagged(df, [], ["a", "b"], F.col("v"), 2, rows=30).orderBy("a", "b").collect()
+    assert [r["_l1"] for r in got] == [None, *values[:-1].tolist()] and [r["_l2"] for r in got] == [None, None, *values[:-2].tolist()]
