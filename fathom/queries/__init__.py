@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("stats", "indicators", "recursive", "filters", "options", "joins", "aggregates", "reshape", "evidence", "performance", "econometrics", "alpha", "scalars", "languages", "streams", "pricing")
+MODULES = ("stats", "indicators", "recursive", "filters", "options", "joins", "aggregates", "reshape", "evidence", "performance", "econometrics", "alpha", "scalars", "languages", "streams", "pricing", "catalog")
 
 
 def collect() -> tuple[dict, dict]:

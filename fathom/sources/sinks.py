@@ -13,8 +13,12 @@ from fathom.operators.aggregates import content_digest
 from fathom.operators.reshape import upsert
 
 
+#: Text files keep microseconds; Spark's own formats end at milliseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**TIMES).json(path)
 
 
 def flattened(df: DataFrame, prefix: str = "data_") -> DataFrame:
@@ -31,7 +35,7 @@ def flattened(df: DataFrame, prefix: str = "data_") -> DataFrame:
 
 
 def csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    flattened(df).write.mode(mode).option("header", True).csv(path)
+    flattened(df).write.mode(mode).options(header=True, **TIMES).csv(path)
 
 
 def parquet(df: DataFrame, path: str, schema: T.StructType | None = None, partitions: Sequence[str] = (), mode: str = "overwrite") -> None:

@@ -1,10 +1,12 @@
 """Readers, sinks, models and the registry, through files."""
 
+import datetime as dt
 import io
 import sqlite3
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from fathom.functions import udf
 from fathom.sources import models, readers, registry, sinks
@@ -120,3 +122,64 @@ def test_html_table_rows_keeps_pages_with_tables(spark, tmp_path):
     spark.createDataFrame([(1, "u", html), (2, "u", "<p>none</p>"), (3, "u", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted(tuple(r) for r in QUERIES["html_table_rows"](spark, str(tmp_path)).collect())
     assert got == [(1, 0, 0, ["A", "B"]), (1, 0, 1, ["1", "2"]), (1, 1, 0, ["3"])]
+
+
+def test_snapshots_keep_revisions_and_point_to_the_current(spark, tmp_path):
+    from fathom.operators.catalog import Snapshots
+
+    def table(*rows):
+        return spark.createDataFrame(rows, "day date, exchange string, symbol string, price double")
+
+    a, b = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    held = Snapshots(spark, str(tmp_path / "s"), ["day", "exchange"], table().schema)
+    assert held.current().count() == 0 and held.commit(table()).count() == 0
+    first = table((a, "X/1", "s", 1.0), (a, "X/1", "t", None), (b, "X/1", "s", 2.0))
+    assert held.commit(first).count() == 2 and held.commit(first.repartition(3)).count() == 0  # the same rows change nothing
+    assert [r.day for r in held.commit(table((a, "X/1", "s", 9.0), (b, "X/1", "s", 2.0))).collect()] == [a]
+    assert sorted(held.current().collect()) == [(a, "X/1", "s", 9.0), (b, "X/1", "s", 2.0)]
+    assert held.commit(first).count() == 1 and held.revisions().count() == 3  # back to what was: no new revision
+    assert sorted(map(repr, held.current().collect())) == sorted(map(repr, first.collect()))
+    with pytest.raises(Exception, match="null in exchange"):
+        held.commit(table((a, None, "s", 1.0)))
+    assert held.current().count() == 3
+
+
+def test_contract_master_names_the_first_broken_rule(spark):
+    from fathom.operators.catalog import contract_master
+
+    day, late, good = dt.date(2024, 1, 2), dt.date(2024, 2, 1), ("10000001", "510050", "X", "official", "call", 2.5, dt.date(2024, 2, 1), dt.date(2024, 1, 2), 100.0)
+    names = ["symbol", "underlying", "exchange", "metadata_source", "option_type", "strike", "expiration", "source_date", "contract_unit"]
+    changes = [{}, {"symbol": "123"}, {"symbol": None}, {"exchange": "Y"}, {"underlying": "510300"}, {"metadata_source": "web"}, {"option_type": "CALL"}, {"strike": float("nan")}, {"strike": 0.0}, {"strike": None}, {"expiration": dt.date(2024, 1, 1)}, {"source_date": late}, {"source_date": None}, {"contract_unit": 0.0}, {"contract_unit": None}, {"symbol": "77777777"}, {"symbol": "77777777", "strike": -1.0}]
+    rows = [tuple((dict(zip(names, good, strict=True)) | {"symbol": f"{10000000 + i}"} | c)[n] for n in names) + (i,) for i, c in enumerate(changes)]
+    df = spark.createDataFrame(rows, "symbol string, underlying string, exchange string, metadata_source string, option_type string, strike double, expiration date, source_date date, contract_unit double, i int")
+    got = {r.i: (r.reason, r.quality_flags) for r in contract_master(df, F.lit(day), "X", "official", ["510050"]).collect()}
+    reasons = [None, "invalid_code", "invalid_code", "exchange_mismatch", "underlying_scope_mismatch", "metadata_source_mismatch", "invalid_option_type", "invalid_strike", "invalid_strike", "invalid_strike", "expired_contract", "metadata_date_mismatch", "missing_metadata_date", "invalid_contract_unit", None, "duplicate_contract", "duplicate_contract"]
+    assert [got[i][0] for i in range(len(changes))] == reasons
+    assert got[0][1] == [] and got[14][1] == ["unknown_contract_unit"] and got[12][1] == ["metadata_source_date_unavailable"]
+
+
+def test_stacked_tickers_drop_what_says_nothing(spark):
+    from fathom.operators.catalog import stacked_tickers
+
+    wide = spark.createDataFrame([(dt.date(2024, 1, d), 1.0 * d, 0.0, None, None) for d in (1, 2, 3)] + [(dt.date(2024, 1, 4), 0.0, 5.0, 7.0, 0.0)], "date date, `A Open` double, `A Stock Splits` double, `B Open` double, `B Stock Splits` double")
+    fields = ["Open", "Stock Splits"]
+    every = stacked_tickers(wide, ["A", "B"], fields, sep=" ")
+    assert every.columns == ["date", "symbol", "open"] and every.count() == 4  # the only split lies on a row without an open
+    day = [r.date.day for r in stacked_tickers(wide, ["A", "B"], fields, sep=" ", start=dt.date(2024, 1, 2), end=dt.date(2024, 1, 3)).collect()]
+    assert sorted(day) == [2, 3]
+    assert stacked_tickers(wide, ["A"], fields, sep=" ", start=dt.date(2024, 1, 3), end=dt.date(2024, 1, 1)).count() == 1
+
+
+def test_admission_and_views_with_unknown_values(spark):
+    from fathom.operators import catalog as ct
+
+    lineage = spark.createDataFrame([("a", True, False, False), ("a", True, True, False), ("b", None, True, None), ("c", False, False, True)], "value_id string, complete boolean, source_ok boolean, confirmed_partial boolean")
+    assert sorted(map(tuple, ct.admission(lineage).collect())) == [("a", True, False, True), ("b", False, False, False), ("c", False, True, True)]
+    rows = [(1, 1, "3", "3", True, None, "1.5"), (2, 1, "3", "3", None, False, "1"), (3, 2, "3", "3", True, False, "1"), (4, 1, "3", "2", True, False, "1"), (5, 1, "3", "3", True, True, "1"), (6, 1, "2", "2", True, False, "x")]
+    variants = spark.createDataFrame(rows, "i int, variant_count int, requested string, given string, admissible boolean, fault boolean, close string")
+    views = ct.catalog_views(variants, ["fault"], {"3": "plain", "2": "forward"}, ["close"])
+    got = {k: sorted(r.i for r in v.collect()) for k, v in views.items()}
+    assert got == {"conflicts": [3], "quarantine": [2, 3, 4, 5], "plain": [1], "forward": [6]}
+    assert views["plain"].first().close == 1.5 and views["forward"].first().close is None
+    marks = ct.marked(spark.createDataFrame([(1, 2), (1, 2), (None, 2)], "a int, b int"), {"m": spark.createDataFrame([(1, 2), (1, 2), (None, 2)], "a int, b int")}, ["a", "b"])
+    assert sorted(map(repr, (tuple(r) for r in marks.collect()))) == ["(1, 2, True)", "(1, 2, True)", "(None, 2, False)"]
