@@ -324,42 +324,72 @@ def _log(a: str, b: str) -> Column:
     return F.ln(F.try_divide(a, b))
 
 
-def volatility(df: DataFrame, model: str, window: int = 30, periods: int = 252) -> DataFrame:
-    """Annualised realised volatility, null until a window is full: std, parkinson, garman_klass,
-    hodges_tompkins, rogers_satchell or yang_zhang (with sums of squares, not centred variances).
+MODELS = ("std", "parkinson", "garman_klass", "hodges_tompkins", "rogers_satchell", "yang_zhang")
 
-    A ratio to a price of zero has no logarithm: windows that hold such a bar are not full."""
+
+def _estimates(df: DataFrame, model: str, windows: Sequence[int], periods: int) -> DataFrame:
+    """Adds ``_v<n>``, an estimator over the last n rows, null until they are full.
+
+    The logarithms, what the frames add up and the estimates are one projection each, so that a frame is made once."""
     w = ordered(BY, TS)
+    hl, co, ho, lo = _log("high", "low"), _log("close", "open"), _log("high", "open"), _log("low", "open")
     df = df.withColumns({"_c": F.ln(F.try_divide(F.col("close"), F.lag("close").over(w))), "_o": F.ln(F.try_divide(F.col("open"), F.lag("close").over(w)))})
-    hl, co = _log("high", "low"), _log("close", "open")
-    ho, lo = _log("high", "open"), _log("low", "open")
-    rs = ho * (ho - co) + lo * (lo - co)
-    if model == "std":
-        value = full(F.stddev_samp("_c"), "_c", w, window) * math.sqrt(periods)
-    elif model == "hodges_tompkins":
-        n = F.count("_c").over(Window.partitionBy(*BY)) - window + 1
-        adjust = 1 / (1 - window / n + (window**2 - 1) / (3 * n * n))
-        value = full(F.stddev_samp("_c"), "_c", w, window) * math.sqrt(periods) * adjust
-    elif model == "yang_zhang":
-        k = 0.34 / (1.34 + (window + 1) / (window - 1))
-        df = df.withColumn("_rs", F.when(F.col("_c").isNotNull(), rs))
-        sums = [full(F.sum(x), x, w, window) / (window - 1) for x in (F.col("_o") * F.col("_o"), F.col("_c") * F.col("_c"), F.col("_rs"))]
-        value = F.sqrt(sums[0] + k * sums[1] + (1 - k) * sums[2]) * math.sqrt(periods)
-    else:
-        term = {"parkinson": hl * hl / (4 * math.log(2)), "garman_klass": 0.5 * hl * hl - (2 * math.log(2) - 1) * co * co, "rogers_satchell": rs}[model]
-        value = F.sqrt(full(F.avg(term), term, w, window) * periods)
-    return df.withColumn(f"vol_{model}", value).drop("_c", "_o", "_rs")
+    rs, c, o = ho * (ho - co) + lo * (lo - co), F.col("_c"), F.col("_o")
+    terms = {
+        "std": [c],
+        "hodges_tompkins": [c],
+        "parkinson": [hl * hl / (4 * math.log(2))],
+        "garman_klass": [0.5 * hl * hl - (2 * math.log(2) - 1) * co * co],
+        "rogers_satchell": [rs],
+        "yang_zhang": [o * o, c * c, F.when(c.isNotNull(), rs)],
+    }[model]
+    names = [f"_t{i}" for i in range(len(terms))]
+    known = F.lit(True)
+    for t in terms:
+        known = known & t.isNotNull()
+    df = df.withColumns(dict(zip(names, terms, strict=True)) | {"_k": F.when(known, 1)})
+    made = {"std": F.stddev_samp, "hodges_tompkins": F.stddev_samp, "yang_zhang": F.sum}.get(model, F.avg)
+    frames = {f"_k{n}": F.count("_k").over(last_n(w, n)) for n in windows} | {f"{t}_{n}": made(t).over(last_n(w, n)) for n in windows for t in names}
+    if model == "hodges_tompkins":
+        frames["_n"] = F.count("_k").over(Window.partitionBy(*BY))
+    df, year = df.withColumns(frames), math.sqrt(periods)
+
+    def value(n: int) -> Column:
+        first = F.col(f"_t0_{n}")
+        if model == "std":
+            return first * year
+        if model == "hodges_tompkins":  # a full frame leaves one row or more
+            left = F.col("_n") - n + 1
+            return first * year / (1 - n / left + (n**2 - 1) / (3 * left * left))
+        if model == "yang_zhang":
+            k = 0.34 / (1.34 + (n + 1) / (n - 1))
+            return F.sqrt((first + k * F.col(f"_t1_{n}") + (1 - k) * F.col(f"_t2_{n}")) / (n - 1)) * year
+        return F.sqrt(first * periods)
+
+    return df.withColumns({f"_v{n}": F.when(F.col(f"_k{n}") == n, value(n)) for n in windows})
 
 
+def volatility(df: DataFrame, model: str, window: int = 30, periods: int = 252) -> DataFrame:
+    """Annualised realised volatility, null until a window is full: one of ``MODELS``
+    (yang_zhang with sums of squares, not centred variances).
+
+    A ratio to a price of zero has no logarithm: windows that hold such a bar are not full."""
+    return _estimates(df, model, [window], periods).select(*df.columns, F.col(f"_v{window}").alias(f"vol_{model}"))
+
+
+#: The window lengths of the cones.
 CONE_WINDOWS = (3, 10, 30, 60, 90, 120, 150, 180, 210, 240, 300, 360)
 
 
-def cones(df: DataFrame, lower: float = 0.25, upper: float = 0.75, periods: int = 252, windows: Sequence[int] = CONE_WINDOWS) -> DataFrame:
-    """Per window length: min, quantiles, median, max and last of realised volatility. One pass makes all windows."""
-    w = ordered(BY, TS)
-    base = df.select(*BY, "ts", F.ln(F.try_divide(F.col("close"), F.lag("close").over(w))).alias("_c"))
-    every = F.array(*(F.struct(F.lit(n).alias("window"), (full(F.stddev_samp("_c"), "_c", w, n) * math.sqrt(periods)).alias("v")) for n in windows))
-    long = base.withColumn("_all", every).select(*BY, "ts", F.inline("_all")).where("v IS NOT NULL")
+def cones(df: DataFrame, lower: float = 0.25, upper: float = 0.75, periods: int = 252, windows: Sequence[int] = CONE_WINDOWS, model: str = "std") -> DataFrame:
+    """Per window length: min, quantiles, median, max and last of an estimator of ``MODELS``. One pass makes all windows.
+
+    Quantiles the wrong way round are turned; they must lie in [0, 1)."""
+    lower, upper = sorted((lower, upper))
+    if not 0 <= lower <= upper < 1:
+        raise ValueError("quantiles of a cone lie in [0, 1)")
+    every = F.array(*(F.struct(F.lit(n).alias("window"), F.col(f"_v{n}").alias("v")) for n in windows))
+    long = _estimates(df.select(*BY, "ts", "open", "high", "low", "close"), model, windows, periods).select(*BY, "ts", F.inline(every)).where("v IS NOT NULL")
     agg = long.groupBy(*BY, "window").agg(F.min("v").alias("min"), F.percentile("v", [lower, 0.5, upper]).alias("q"), F.max("v").alias("max"), F.max_by("v", "ts").alias("realized"))
     return agg.select(*BY, "window", "realized", "min", F.col("q")[0].alias("lower"), F.col("q")[1].alias("median"), F.col("q")[2].alias("upper"), "max")
 
@@ -367,22 +397,38 @@ def cones(df: DataFrame, lower: float = 0.25, upper: float = 0.75, periods: int
 # --- relative rotation -------------------------------------------------------------------------------
 
 
-def relative_rotation(df: DataFrame, benchmark: str, target: str = "close", long: int = 252, short: int = 21) -> DataFrame:
-    """Ratio of each symbol to the benchmark at the same time, its momentum, and both as z-scores of their own sample.
+def scaled(c: str, method: str, part) -> Column:
+    """A column by its sample's z-score (``z``), range (``m``) or greatest size (``a``)."""
+    x = F.col(c)
+    if method == "z":
+        return F.try_divide(x - F.avg(c).over(part), F.stddev_samp(c).over(part))
+    if method == "m":
+        return F.try_divide(x - F.min(c).over(part), F.max(c).over(part) - F.min(c).over(part))
+    if method == "a":
+        return F.try_divide(x, F.max(F.abs(x)).over(part))
+    raise ValueError(f"method {method!r} is none of z, m, a")
+
 
-    The benchmark's value comes from a window over the time, so there is no self-join.
+def relative_rotation(df: DataFrame, benchmark: str, target: str = "close", long: int = 252, short: int = 21, study: str = "price", window: int = 21, periods: int = 252, method: str = "z") -> DataFrame:
+    """Ratio of each symbol to the benchmark at the same time, its momentum, and both scaled by their own sample.
+
+    The study is of ``target`` (price), of the ``volume``, or of the volatility of ``target`` over ``window`` rows. The benchmark's
+    value comes from a window over the time, so there is no self-join.
     """
-    at = F.max(F.when(F.col("symbol") == benchmark, F.col(target))).over(Window.partitionBy(*TS))
     w = ordered(BY, TS)
-    ratio = df.withColumn("_b", at).where(F.col("_b").isNotNull() & (F.col("symbol") != benchmark)).select("symbol", "ts", (F.try_divide(target, "_b") * 100).alias("ratio"))
+    if study not in ("price", "volume", "volatility"):
+        raise ValueError(f"study {study!r} is none of price, volume, volatility")
+    x = F.col("volume" if study == "volume" else target)
+    df = df.select("symbol", "ts", x.alias("_x"))
+    if study == "volatility":
+        df = df.withColumn("_r", F.ln(F.try_divide(F.col("_x"), F.lag("_x").over(w)))).withColumn("_x", full(F.stddev_samp("_r"), "_r", w, window) * math.sqrt(periods))
+    at = F.max(F.when(F.col("symbol") == benchmark, F.col("_x"))).over(Window.partitionBy(*TS))
+    met = df.withColumn("_b", at).where(F.col("_b").isNotNull() & F.col("_x").isNotNull() & (F.col("symbol") != benchmark))
+    ratio = met.select("symbol", "ts", (F.try_divide(F.col("_x").cast("double"), "_b") * 100).alias("ratio"))
 
     def change(n: int) -> Column:
         return F.ln(F.try_divide(F.col("ratio"), F.lag("ratio", n).over(w)) + 1e-10)
 
     moved = ratio.withColumn("momentum", change(long) - change(short)).where("momentum IS NOT NULL")
     part = Window.partitionBy(*BY)
-
-    def z(c: str) -> Column:
-        return F.try_divide(F.col(c) - F.avg(c).over(part), F.stddev_samp(c).over(part))
-
-    return moved.select("symbol", "ts", "ratio", "momentum", z("ratio").alias("z_ratio"), z("momentum").alias("z_momentum"))
+    return moved.select("symbol", "ts", "ratio", "momentum", scaled("ratio", method, part).alias(f"{method}_ratio"), scaled("momentum", method, part).alias(f"{method}_momentum"))

@@ -158,39 +158,67 @@ def fibonacci(spark, d):
 BASE = f"""{BARS}, z AS (SELECT symbol, ts, nullif(open, 0) AS open, nullif(high, 0) AS high, nullif(low, 0) AS low, nullif(close, 0) AS close FROM bars),
     c AS (SELECT *, ln(close / lag(close) OVER w) AS c, ln(open / lag(close) OVER w) AS o, ln(high / low) AS hl, ln(close / open) AS co, ln(high / open) AS ho, ln(low / open) AS lo
     FROM z WINDOW w AS (PARTITION BY symbol ORDER BY ts)), t AS (SELECT *, ho * (ho - co) + lo * (lo - co) AS rs, CASE WHEN c IS NOT NULL THEN ho * (ho - co) + lo * (lo - co) END AS rs2 FROM c)"""
-K = 0.34 / (1.34 + 31 / 29)
-VOLATILITY = {
-    "std": f"{over('stddev_samp(c)', 30, 'c')} * sqrt(252)",
-    "parkinson": f"sqrt({over('avg(hl * hl / (4 * ln(2)))', 30, 'hl')} * 252)",
-    "garman_klass": f"sqrt({over('avg(0.5 * hl * hl - (2 * ln(2) - 1) * co * co)', 30, 'hl')} * 252)",
-    "rogers_satchell": f"sqrt({over('avg(rs)', 30, 'rs')} * 252)",
-    "hodges_tompkins": f"{over('stddev_samp(c)', 30, 'c')} * sqrt(252) / (1 - 30 / (count(c) OVER (PARTITION BY symbol) - 29) + 899 / (3 * power(count(c) OVER (PARTITION BY symbol) - 29, 2)))",
-    "yang_zhang": f"sqrt({over('sum(o * o)', 30, 'o')} / 29 + {K} * {over('sum(c * c)', 30, 'c')} / 29 + {1 - K} * {over('sum(rs2)', 30, 'rs2')} / 29) * {math.sqrt(252)}",
-}
-for _model, _sql in VOLATILITY.items():
 
-    @query(f"WITH {BASE} SELECT symbol, ts, {r(_sql, f'vol_{_model}')} FROM t", name=f"volatility_{_model}")
+
+def estimator(model: str, n: int) -> str:
+    """An estimator over the last ``n`` bars in SQL."""
+    k, left = 0.34 / (1.34 + (n + 1) / (n - 1)), f"nullif(count(c) OVER (PARTITION BY symbol) - {n - 1}, 0)"
+    return {
+        "std": f"{over('stddev_samp(c)', n, 'c')} * sqrt(252)",
+        "parkinson": f"sqrt({over('avg(hl * hl / (4 * ln(2)))', n, 'hl')} * 252)",
+        "garman_klass": f"sqrt({over('avg(0.5 * hl * hl - (2 * ln(2) - 1) * co * co)', n, 'hl')} * 252)",
+        "rogers_satchell": f"sqrt({over('avg(rs)', n, 'rs')} * 252)",
+        "hodges_tompkins": f"{over('stddev_samp(c)', n, 'c')} * sqrt(252) / (1 - {n} / {left} + {n * n - 1} / (3 * power({left}, 2)))",
+        "yang_zhang": f"sqrt({over('sum(o * o)', n, 'o')} / {n - 1} + {k} * {over('sum(c * c)', n, 'c')} / {n - 1} + {1 - k} * {over('sum(rs2)', n, 'rs2')} / {n - 1}) * {math.sqrt(252)}",
+    }[model]
+
+
+def cones_sql(model: str) -> str:
+    each = " UNION ALL ".join(f"SELECT symbol, ts, {n} AS win, {estimator(model, n)} AS v FROM t" for n in ta.CONE_WINDOWS)
+    return f"""WITH {BASE}, v AS ({each})
+        SELECT symbol, win AS "window", {r("last(v ORDER BY ts)", "realized")}, {r("min(v)", "min")}, {r("quantile_cont(v, 0.25)", "lower")}, {r("quantile_cont(v, 0.5)", "median")}, {r("quantile_cont(v, 0.75)", "upper")}, {r("max(v)", "max")}
+        FROM v WHERE v IS NOT NULL GROUP BY 1, 2"""
+
+
+for _model in ta.MODELS:
+
+    @query(f"WITH {BASE} SELECT symbol, ts, {r(estimator(_model, 30), f'vol_{_model}')} FROM t", name=f"volatility_{_model}")
     def _volatility(spark, d, model=_model):
         return out(ta.volatility(bars(spark, d), model), f"vol_{model}")
 
+    @query(cones_sql(_model), name="volatility_cones" if _model == "std" else f"volatility_cones_{_model}")
+    def _cones(spark, d, model=_model):
+        return rounded(ta.cones(bars(spark, d), model=model))
 
-CONES = " UNION ALL ".join(f"SELECT symbol, ts, {n} AS win, {over('stddev_samp(c)', n, 'c')} * sqrt(252) AS v FROM c" for n in ta.CONE_WINDOWS)
+
+SCALE = {
+    "z": "({0} - avg({0}) OVER p) / stddev_samp({0}) OVER p",
+    "m": "({0} - min({0}) OVER p) / (max({0}) OVER p - min({0}) OVER p)",
+    "a": "{0} / max(abs({0})) OVER p",
+}
 
 
-@query(f"""WITH {BARS}, c AS (SELECT *, ln(nullif(close, 0) / lag(nullif(close, 0)) OVER (PARTITION BY symbol ORDER BY ts)) AS c FROM bars), v AS ({CONES})
-    SELECT symbol, win AS "window", {r("last(v ORDER BY ts)", "realized")}, {r("min(v)", "min")}, {r("quantile_cont(v, 0.25)", "lower")}, {r("quantile_cont(v, 0.5)", "median")}, {r("quantile_cont(v, 0.75)", "upper")}, {r("max(v)", "max")}
-    FROM v WHERE v IS NOT NULL GROUP BY 1, 2""")
-def volatility_cones(spark, d):
-    return rounded(ta.cones(bars(spark, d)))
+def rotation_sql(value: str, method: str) -> str:
+    z = SCALE[method]
+    return f"""WITH {BASE}, s AS (SELECT symbol, ts, {value} AS x FROM t JOIN bars USING (symbol, ts)), b AS (SELECT x.symbol, x.ts, x.x / nullif(y.x, 0) * 100 AS ratio FROM s x JOIN s y ON x.ts = y.ts AND y.symbol = 'click' AND x.symbol <> 'click' WHERE x.x IS NOT NULL AND y.x IS NOT NULL),
+        m AS (SELECT *, ln(ratio / lag(ratio, 60) OVER w + 1e-10) - ln(ratio / lag(ratio, 10) OVER w + 1e-10) AS momentum FROM b WINDOW w AS (PARTITION BY symbol ORDER BY ts)),
+        n AS (SELECT * FROM m WHERE momentum IS NOT NULL)
+        SELECT symbol, ts, {r("ratio")}, {r("momentum")}, {r(z.format("ratio"), f"{method}_ratio")}, {r(z.format("momentum"), f"{method}_momentum")} FROM n WINDOW p AS (PARTITION BY symbol)"""
 
 
-@query(f"""WITH {BARS}, b AS (SELECT x.symbol, x.ts, x.close / y.close * 100 AS ratio FROM bars x JOIN bars y ON x.ts = y.ts AND y.symbol = 'click' AND x.symbol <> 'click'),
-    m AS (SELECT *, ln(ratio / lag(ratio, 60) OVER w + 1e-10) - ln(ratio / lag(ratio, 10) OVER w + 1e-10) AS momentum FROM b WINDOW w AS (PARTITION BY symbol ORDER BY ts)),
-    n AS (SELECT * FROM m WHERE momentum IS NOT NULL)
-    SELECT symbol, ts, {r("ratio")}, {r("momentum")}, round((ratio - avg(ratio) OVER p) / stddev_samp(ratio) OVER p, 6) + 0.0 AS z_ratio, round((momentum - avg(momentum) OVER p) / stddev_samp(momentum) OVER p, 6) + 0.0 AS z_momentum
-    FROM n WINDOW p AS (PARTITION BY symbol)""")
+@query(rotation_sql("bars.close", "z"))
 def relative_rotation(spark, d):
     return rounded(ta.relative_rotation(bars(spark, d), "click", long=60, short=10))
 
 
+@query(rotation_sql("bars.volume", "m"))
+def relative_rotation_volume(spark, d):
+    return rounded(ta.relative_rotation(bars(spark, d), "click", long=60, short=10, study="volume", method="m"))
+
+
+@query(rotation_sql(estimator("std", 21), "a"))
+def relative_rotation_volatility(spark, d):
+    return rounded(ta.relative_rotation(bars(spark, d), "click", long=60, short=10, study="volatility", method="a"))
+
+
 QUERIES, SQL = query.queries, query.sql

@@ -80,16 +80,11 @@ def correlation_spearman(spark, d):
     return rounded(st.correlation_matrix(daily(spark, d), "date", "symbol", "value", "spearman"))
 
 
-def weekly(spark, d):
-    return daily(spark, d).groupBy("symbol", F.date_trunc("month", "date").alias("date")).agg(F.sum("value").alias("value"))
-
-
-@query(f"""WITH {DAILY}, m AS (SELECT symbol, date_trunc('month', date) AS d, sum(value) AS v FROM daily GROUP BY 1, 2),
-    b AS (SELECT a.symbol, c.symbol AS comp_to, a.d, a.v AS x, c.v AS y FROM m a JOIN m c ON a.d = c.d AND a.symbol < c.symbol)
+@query(f"""WITH {DAILY}, b AS (SELECT a.symbol, c.symbol AS comp_to, a.date AS d, a.value AS x, c.value AS y FROM daily a JOIN daily c ON a.date = c.date AND a.symbol < c.symbol)
     SELECT p.symbol, p.comp_to, {r("sum(sign(p.x - q.x) * sign(p.y - q.y)) / sqrt(sum(abs(sign(p.x - q.x))) * sum(abs(sign(p.y - q.y))))", "corr")}
     FROM b p JOIN b q ON p.symbol = q.symbol AND p.comp_to = q.comp_to AND p.d < q.d GROUP BY 1, 2""")
 def correlation_kendall(spark, d):
-    return rounded(st.kendall(weekly(spark, d), "date", "symbol", "value"))
+    return rounded(st.kendall(daily(spark, d), "date", "symbol", "value"))
 
 
 @query(f"SELECT l_returnflag, {r('covar_samp(l_extendedprice, l_quantity)', 'cov', 3)}, {r('covar_samp(l_extendedprice, l_quantity) / var_samp(l_quantity)', 'beta', 3)} FROM lineitem GROUP BY 1")
