@@ -155,6 +155,40 @@ def rank_autocorrelation(ranks: DataFrame, lag: int = 1) -> DataFrame:
     return day.where("c IS NOT NULL AND NOT isnan(c)").groupBy("factor_id").agg(F.avg("c").alias("autocorrelation"), F.count("*").alias("sessions"))
 
 
+#: Reasons for which a row is expected to be missing from an evaluation.
+EXPECTED = ("used", "ineligible", "factor:warmup", "label:sample_tail")
+
+
+def evaluation_coverage(factors: DataFrame, lab: DataFrame) -> DataFrame:
+    """Per factor and horizon: rows in, joined and used, rows lost for a reason that is not expected, their part of what could be used, and the number of each reason.
+
+    A row counts for the first of: no label row, ineligible, no factor value, no label value. Keys of labels must be unique.
+    """
+    keys = ["instrument_id", "session", "horizon"]
+    horizons = lab.select("horizon").distinct()
+    f = factors.select("instrument_id", "session", "factor_id", "eligible", F.col("value").alias("f"), F.col("null_reason").alias("f_reason"))
+    l = lab.select(*keys, F.col("value").alias("l"), F.col("null_reason").alias("l_reason"), F.lit(True).alias("met"))
+    met = f.crossJoin(F.broadcast(horizons)).join(l, keys, "left")  # horizons are a study's few
+    reason = (
+        F.when(F.col("met").isNull(), "missing_join")
+        .when(~F.col("eligible"), "ineligible")
+        .when(F.col("f").isNull(), F.concat(F.lit("factor:"), F.coalesce("f_reason", F.lit("unknown_null"))))
+        .when(F.col("l").isNull(), F.concat(F.lit("label:"), F.coalesce("l_reason", F.lit("missing_join"))))
+        .otherwise("used")
+    )
+    each = met.groupBy("factor_id", "horizon", reason.alias("reason")).agg(F.count("*").alias("n"), F.count("met").alias("joined"))
+    lost = F.sum(F.when(~F.col("reason").isin(*EXPECTED), F.col("n")).otherwise(0))
+    used = F.sum(F.when(F.col("reason") == "used", F.col("n")).otherwise(0))
+    out = each.groupBy("factor_id", "horizon").agg(F.sum("n").alias("input_rows"), F.sum("joined").alias("joined_rows"), used.alias("used_rows"), lost.alias("unexpected_loss"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("reasons"))
+    return out.withColumn("loss_part", F.col("unexpected_loss") / F.greatest(F.lit(1), F.col("used_rows") + F.col("unexpected_loss")))
+
+
+def within_loss(found: DataFrame, most: float) -> DataFrame:
+    """The same coverage; reading a row whose unexpected loss is above ``most`` fails with its reasons."""
+    text = F.concat(F.lit("unexpected evaluation loss for "), F.col("factor_id"), F.lit("/"), F.col("horizon").cast("string"), F.lit(": "), F.to_json("reasons"))
+    return found.withColumn("loss_part", F.when(F.col("loss_part") > most, F.raise_error(text).cast("double")).otherwise(F.col("loss_part")))
+
+
 def coverage(factors: DataFrame) -> DataFrame:
     return factors.groupBy("factor_id", F.coalesce("null_reason", F.lit("valid")).alias("reason")).agg(F.count("*").alias("n"))
 
@@ -187,10 +221,14 @@ def ledger(target: DataFrame, opens: DataFrame, cash: float = 1e6, cost: float =
     """Fills of a portfolio that moves to its targets at the next open: (slot, equity, cash, fees, turnover).
 
     Each rebalance is scaled by bisection so that cash after linear costs is never negative. A portfolio is
-    one sequence by nature: its few target rows a session go through one group in order.
+    one sequence by nature: the opens of the instruments that it ever holds go through one group in order, and a
+    row without an instrument for each session.
     """
     rows = target.select((F.col("slot") + 1).alias("slot"), "instrument_id", "weight")
-    joined = opens.select("slot", "instrument_id", "open").join(rows, ["slot", "instrument_id"], "left").withColumn("portfolio", F.lit(0))
+    ever = rows.select("instrument_id").distinct()
+    slots = opens.select("slot").distinct().select("slot", F.lit(None).cast("string").alias("instrument_id"), F.lit(None).cast("double").alias("open"))
+    held = opens.select("slot", "instrument_id", "open").join(ever, "instrument_id", "left_semi").select("slot", "instrument_id", "open")
+    joined = held.unionByName(slots).join(rows, ["slot", "instrument_id"], "left").withColumn("portfolio", F.lit(0))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         held, money, out = {}, cash, []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fathom.functions.windows import ordered, so_far
 from fathom.operators import alpha as al
 
 from .base import Registry, r, rounded, table
@@ -89,12 +90,25 @@ def forward_labels(spark, d):
 
 
 def dense(spark, d):
-    """Panel without gaps: months of order priorities, so that factors have values."""
-    return al.synthetic(spark, 12, 320)
+    """The panel with the last price and open carried on, as of a stock that doesn't trade on a day; there is no hole after the first."""
+    w = ordered(al.KEY, al.AT)
+    carried = {c: F.last(c, ignorenulls=True).over(so_far(w)) for c in ("price", "raw_close", "open")}
+    carried["price"] = F.round(carried["price"], 6)
+    p = panel(spark, d).withColumns(carried | {"raw_share_volume": F.coalesce("raw_share_volume", F.lit(0)) + 100.0})
+    return p.withColumns({"present": F.col("price").isNotNull(), "known": F.col("price").isNotNull()})
 
 
-def both(spark):
-    p = al.synthetic(spark, 12, 320)
+CARRIED = "(PARTITION BY instrument_id ORDER BY slot ROWS UNBOUNDED PRECEDING)"
+DENSE = f"""{PANEL.replace("    p AS (", "    p0 AS (", 1)}, p1 AS (SELECT instrument_id, session, slot, eligible, round(last_value(price IGNORE NULLS) OVER {CARRIED}, 6) AS price, last_value(raw_close IGNORE NULLS) OVER {CARRIED} AS raw_close, coalesce(vol, 0) + 100.0 AS vol,
+    last_value(open IGNORE NULLS) OVER {CARRIED} AS open FROM p0), p AS (SELECT *, price IS NOT NULL AS present, price IS NOT NULL AS known FROM p1)"""
+DENSE_FACTORS = f"{DENSE}{FACTORS.removeprefix(PANEL)}"
+PAIRED = f"""{DENSE_FACTORS}, {LABELS}, pr AS (SELECT f.instrument_id, f.session, f.slot, factor_id, horizon, f.v AS factor, l.v AS label FROM f JOIN l USING (instrument_id, session) WHERE f.v IS NOT NULL AND l.v IS NOT NULL)"""
+QUANTILED = f"""{PAIRED}, e AS (SELECT *, quantile_cont(factor, [0.2, 0.4, 0.6, 0.8]) OVER (PARTITION BY session, factor_id, horizon) AS e FROM pr),
+    qt AS (SELECT *, CASE WHEN len(list_distinct(e)) = 4 THEN len(list_filter(e, lambda x: x < factor)) + 1 END AS quantile FROM e)"""
+
+
+def both(spark, d):
+    p = dense(spark, d)
     return al.paired(al.compute(p), al.labels(p))
 
 
@@ -103,38 +117,61 @@ def synthetic_panel(spark, d):
     return al.synthetic(spark)
 
 
-@query()
+def averaged(value: str) -> str:
+    """Average rank in SQL."""
+    part = "PARTITION BY session, factor_id, horizon"
+    return f"rank() OVER ({part} ORDER BY {value}) + (count(*) OVER ({part}, {value}) - 1) / 2"
+
+
+@query(f"""WITH {PAIRED}, k AS (SELECT session, factor_id, horizon, {averaged("factor")} AS a, {averaged("label")} AS c FROM pr), d AS (SELECT session, factor_id, horizon, corr(a, c) AS ic FROM k GROUP BY 1, 2, 3), g AS (SELECT * FROM d WHERE ic IS NOT NULL AND NOT isnan(ic))
+    SELECT factor_id, horizon, {r("avg(ic)", "ic_mean")}, {r("stddev_samp(ic)", "ic_std")}, count(*) AS sessions, {r("avg(ic) / nullif(stddev_samp(ic), 0)", "ic_ratio")} FROM g GROUP BY 1, 2""")
 def information_coefficient(spark, d):
-    return al.information(both(spark))
+    return rounded(al.information(both(spark, d)))
 
 
-@query()
+@query(f"""WITH {QUANTILED}, m AS (SELECT session, factor_id, horizon, quantile, avg(label) AS m FROM qt WHERE quantile IS NOT NULL GROUP BY 1, 2, 3, 4)
+    SELECT factor_id, horizon, {", ".join(r(f"avg(m) FILTER (WHERE quantile = {i})", f"q{i}") for i in range(1, 6))}, {r("avg(m) FILTER (WHERE quantile = 5) - avg(m) FILTER (WHERE quantile = 1)", "spread")} FROM m GROUP BY 1, 2""")
 def quantile_returns(spark, d):
-    return al.quantile_returns(both(spark))
+    return rounded(al.quantile_returns(both(spark, d)))
 
 
-@query()
+@query(f"""WITH {QUANTILED}, t AS (SELECT factor_id, horizon, slot, instrument_id FROM qt WHERE quantile = 5), s AS (SELECT factor_id, horizon, min(slot) AS s FROM t GROUP BY 1, 2),
+    d AS (SELECT t.factor_id, t.horizon, t.slot, avg(CASE WHEN o.slot IS NULL THEN 1.0 ELSE 0.0 END) AS t FROM t LEFT JOIN t o ON o.factor_id = t.factor_id AND o.horizon = t.horizon AND o.instrument_id = t.instrument_id AND o.slot + 1 = t.slot
+        JOIN s ON s.factor_id = t.factor_id AND s.horizon = t.horizon WHERE t.slot > s.s GROUP BY 1, 2, 3)
+    SELECT factor_id, horizon, {r("avg(t)", "turnover")} FROM d GROUP BY 1, 2""")
 def quantile_turnover(spark, d):
-    return al.turnover(both(spark))
+    return rounded(al.turnover(both(spark, d)))
 
 
-@query()
+DENSE_RANKS = f"{DENSE}{RANKS.removeprefix(PANEL)}"
+
+
+@query(f"""WITH {DENSE_RANKS}, k AS (SELECT instrument_id, slot, factor_id, (rk - 1) / (n - 1) - 0.5 AS x FROM c WHERE n >= 2 AND v IS NOT NULL), d AS (SELECT a.factor_id, a.slot, corr(a.x, o.x) AS c FROM k a JOIN k o ON a.factor_id = o.factor_id AND a.instrument_id = o.instrument_id AND a.slot = o.slot + 1 GROUP BY 1, 2)
+    SELECT factor_id, {r("avg(c)", "autocorrelation")}, count(*) AS sessions FROM d WHERE c IS NOT NULL AND NOT isnan(c) GROUP BY 1""")
 def rank_autocorrelation(spark, d):
-    return al.rank_autocorrelation(al.ranked(al.compute(al.synthetic(spark, 12, 320))))
+    return rounded(al.rank_autocorrelation(al.ranked(al.compute(dense(spark, d)))))
+
+
+@query(f"""WITH {DENSE_FACTORS}, {LABELS}, j AS (SELECT f.factor_id, l.horizon, CASE WHEN NOT f.eligible THEN 'ineligible' WHEN f.v IS NULL THEN 'factor:' || f.null_reason WHEN l.v IS NULL THEN 'label:' || l.null_reason ELSE 'used' END AS reason FROM f JOIN l USING (instrument_id, session)),
+    c AS (SELECT factor_id, horizon, count(*) AS input_rows, count(*) FILTER (WHERE reason = 'used') AS used_rows, count(*) FILTER (WHERE reason NOT IN ('used', 'ineligible', 'factor:warmup', 'label:sample_tail')) AS unexpected_loss FROM j GROUP BY 1, 2)
+    SELECT factor_id, horizon, input_rows, input_rows AS joined_rows, used_rows, unexpected_loss, {r("unexpected_loss / greatest(1, used_rows + unexpected_loss)", "loss_part")} FROM c""")
+def evaluation_coverage(spark, d):
+    p = dense(spark, d)
+    return rounded(al.evaluation_coverage(al.compute(p), al.labels(p)).drop("reasons"))
 
 
 @query()
 def ridge_predictions(spark, d):
-    p = al.synthetic(spark, 12, 320)
+    p = dense(spark, d)
     wide = al.compute(p).groupBy("instrument_id", "session", "slot").pivot("factor_id", list(al.FACTORS)).agg(F.first("value"))
     lab = al.labels(p, [5]).select("instrument_id", "session", F.col("value").alias("label"))
     names = ["momentum_63_21", "reversal_5", "negative_realized_volatility_20"]
-    return al.ridge(wide.join(lab, ["instrument_id", "session"]), names, "label", "slot", 250, 6).select("instrument_id", "session", "prediction")
+    return al.ridge(wide.join(lab, ["instrument_id", "session"]), names, "label", "slot", 1000, 6).select("instrument_id", "session", "prediction")
 
 
 @query()
 def backtest(spark, d):
-    p = al.synthetic(spark, 12, 320)
+    p = dense(spark, d)
     scores = al.ranked(al.compute(p)).where("factor_id = 'momentum_63_21' AND slot % 20 = 0").select("instrument_id", "session", "slot", F.col("rank_value").alias("score"))
     return al.ledger(al.targets(scores, 4), p)
 
