@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.windows import ordered
 from fathom.operators.joins import complete_grid
-from fathom.operators.statistics import average_rank
+from fathom.operators.statistics import average_rank, correlation
 
 KEY, AT = ["instrument_id"], ["slot"]
 #: factor -> (oldest row looked at, newest row looked at), in rows before the present one.
@@ -117,7 +117,7 @@ def information(both: DataFrame) -> DataFrame:
     """Per factor and horizon: mean, deviation and number of the daily rank correlations."""
     part = Window.partitionBy("session", "factor_id", "horizon")
     ranks = both.select("session", "factor_id", "horizon", average_rank(F.col("factor"), part).alias("a"), average_rank(F.col("label"), part).alias("b"))
-    daily = ranks.groupBy("session", "factor_id", "horizon").agg(F.corr("a", "b").alias("ic")).where("ic IS NOT NULL AND NOT isnan(ic)")
+    daily = ranks.groupBy("session", "factor_id", "horizon").agg(correlation("a", "b").alias("ic")).where("ic IS NOT NULL AND NOT isnan(ic)")
     return daily.groupBy("factor_id", "horizon").agg(F.avg("ic").alias("ic_mean"), F.stddev_samp("ic").alias("ic_std"), F.count("*").alias("sessions")).withColumn("ic_ratio", F.try_divide("ic_mean", "ic_std"))
 
 
@@ -151,7 +151,7 @@ def rank_autocorrelation(ranks: DataFrame, lag: int = 1) -> DataFrame:
     """Correlation of an instrument's rank with that ``lag`` sessions before, averaged over sessions."""
     a = ranks.where("rank_value IS NOT NULL").select("factor_id", "instrument_id", "slot", "rank_value")
     b = a.select("factor_id", "instrument_id", (F.col("slot") + lag).alias("slot"), F.col("rank_value").alias("before"))
-    day = a.join(b, ["factor_id", "instrument_id", "slot"]).groupBy("factor_id", "slot").agg(F.corr("rank_value", "before").alias("c"))
+    day = a.join(b, ["factor_id", "instrument_id", "slot"]).groupBy("factor_id", "slot").agg(correlation("rank_value", "before").alias("c"))
     return day.where("c IS NOT NULL AND NOT isnan(c)").groupBy("factor_id").agg(F.avg("c").alias("autocorrelation"), F.count("*").alias("sessions"))
 
 

@@ -66,13 +66,18 @@ def pairs(long: DataFrame, on: str, name: str, value: str) -> DataFrame:
     return a.join(b, "on").where("a <= b")
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson's correlation of rows that know both values, null where a side is constant (``corr`` fails there)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_matrix(long: DataFrame, on: str, name: str, value: str, method: str = "pearson") -> DataFrame:
     """(``symbol``, ``comp_to``, ``corr``) for every ordered pair of names, over their common rows."""
     both = pairs(long, on, name, value).where("x IS NOT NULL AND y IS NOT NULL")
     if method == "spearman":
         part = Window.partitionBy("a", "b")
         both = both.select("a", "b", average_rank(F.col("x"), part).alias("x"), average_rank(F.col("y"), part).alias("y"))
-    half = both.groupBy("a", "b").agg(F.corr("x", "y").alias("corr"))
+    half = both.groupBy("a", "b").agg(correlation("x", "y").alias("corr"))
     mirror = half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
     return half.unionByName(mirror).select(F.col("a").alias("symbol"), F.col("b").alias("comp_to"), F.nanvl("corr", F.lit(None)).alias("corr"))
 

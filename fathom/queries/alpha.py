@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.windows import ordered, so_far
 from fathom.operators import alpha as al
+from fathom.session import scratch
 
 from .base import Registry, r, rounded, table
 
@@ -90,12 +91,16 @@ def forward_labels(spark, d):
 
 
 def dense(spark, d):
-    """The panel with the last price and open carried on, as of a stock that doesn't trade on a day; there is no hole after the first."""
+    """The panel with the last price and open carried on, as of a stock that doesn't trade on a day; there is no hole after the first.
+
+    Written once, as factors, labels and portfolios each read it."""
     w = ordered(al.KEY, al.AT)
     carried = {c: F.last(c, ignorenulls=True).over(so_far(w)) for c in ("price", "raw_close", "open")}
     carried["price"] = F.round(carried["price"], 6)
     p = panel(spark, d).withColumns(carried | {"raw_share_volume": F.coalesce("raw_share_volume", F.lit(0)) + 100.0})
-    return p.withColumns({"present": F.col("price").isNotNull(), "known": F.col("price").isNotNull()})
+    path = scratch(spark, "panel")
+    p.withColumns({"present": F.col("price").isNotNull(), "known": F.col("price").isNotNull()}).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 CARRIED = "(PARTITION BY instrument_id ORDER BY slot ROWS UNBOUNDED PRECEDING)"

@@ -13,6 +13,7 @@ from fathom.operators import indicators as ta
 from fathom.operators import joins as jn
 from fathom.operators import languages as lang
 from fathom.operators import reshape as rs
+from fathom.operators import statistics as st
 
 
 @pytest.fixture(scope="module")
@@ -261,3 +262,31 @@ def test_neighbours_across_blocks(spark):
     df = spark.createDataFrame([(i // 7, i % 7, float(v)) for i, v in enumerate(values)], "a int, b int, v double").repartition(5)
     got = blocks.lagged(df, [], ["a", "b"], F.col("v"), 2, rows=30).orderBy("a", "b").collect()
     assert [r["_l1"] for r in got] == [None, *values[:-1].tolist()] and [r["_l2"] for r in got] == [None, None, *values[:-2].tolist()]
+
+
+def test_tau_b_counts_as_all_pairs_do():
+    rng = np.random.default_rng(3)
+    for n in (2, 3, 17, 60):
+        x, y = rng.integers(0, 7, n).astype(float), rng.integers(0, 5, n).astype(float)
+        i, j = np.triu_indices(n, 1)
+        a, b = np.sign(x[i] - x[j]), np.sign(y[i] - y[j])
+        below = np.sqrt(np.abs(a).sum() * np.abs(b).sum())
+        assert st.tau_b(x, y) == pytest.approx((a * b).sum() / below if below else np.nan, nan_ok=True)
+
+
+def test_evaluation_coverage_and_its_bound(spark):
+    f = spark.createDataFrame([("A", 1, "f", True, 1.0, None), ("B", 1, "f", True, None, "warmup"), ("C", 1, "f", True, None, "missing_value"), ("D", 1, "f", False, 2.0, None), ("E", 1, "f", True, 2.0, None)], "instrument_id string, session int, factor_id string, eligible boolean, value double, null_reason string")
+    lab = spark.createDataFrame([(i, 1, 5, 0.1, None) for i in "ABCD"], "instrument_id string, session int, horizon int, value double, null_reason string")
+    found = al.evaluation_coverage(f, lab)
+    row = found.first()
+    assert (row.input_rows, row.joined_rows, row.used_rows, row.unexpected_loss) == (5, 4, 1, 2)
+    assert row.reasons == {"used": 1, "factor:warmup": 1, "factor:missing_value": 1, "ineligible": 1, "missing_join": 1}
+    assert al.within_loss(found, 0.7).count() == 1
+    with pytest.raises(Exception, match="unexpected evaluation loss for f/5"):
+        al.within_loss(found, 0.5).collect()
+
+
+def test_a_constant_cross_section_has_no_correlation(spark):
+    both = spark.createDataFrame([(1, "f", 5, float(i), 0.5) for i in range(4)] + [(2, "f", 5, float(i), i * 2.0) for i in range(4)], "session int, factor_id string, horizon int, factor double, label double")
+    row = al.information(both).first()
+    assert (row.ic_mean, row.sessions) == (pytest.approx(1.0), 1)
