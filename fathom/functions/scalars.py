@@ -33,8 +33,26 @@ def ln(value: Column) -> Column:
     return F.when(value == 0, F.lit(float("-inf"))).when(value < 0, F.lit(float("nan"))).otherwise(F.ln(value))
 
 
+def _scaled(x: Column, places: int, whole) -> Column:
+    """Rounds the product with the power of ten, as SQL does with doubles; ``round`` and ``bround`` take the shortest decimal text, which has other ties."""
+    power = F.lit(10.0**places)
+    moved = x * power
+    return F.when(F.isnan(moved) | (F.abs(moved) == float("inf")), x).otherwise(whole(moved) / power)
+
+
+def half_up(x: Column, places: int) -> Column:
+    """A double rounded half away from zero."""
+    return _scaled(x, places, F.round)
+
+
 def half_even(x: Column, places: int) -> Column:
-    return F.bround(x, places)
+    """A double rounded half to even."""
+    return _scaled(x, places, F.rint)
+
+
+def sign(x: Column) -> Column:
+    """-1, 0 or 1 as a double; 0 of NaN, as SQL has it."""
+    return F.when(F.isnan(x), F.lit(0.0)).otherwise(F.signum(x))
 
 
 def quarter_end(day: Column) -> Column:

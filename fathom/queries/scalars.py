@@ -8,7 +8,7 @@ from fathom.functions import scalars as sc
 from fathom.functions import udf
 from fathom.sources import readers
 
-from .base import BARS, Registry, bars, r, rounded, table
+from .base import BARS, PLACES, Registry, bars, r, rounded, table
 
 query = Registry()
 
@@ -41,8 +41,9 @@ def time_slots(spark, d):
 @query(f"SELECT event_id, {r("CASE WHEN value = 0 THEN '-Infinity'::DOUBLE ELSE ln(value) END", 'l')}, {r('sqrt(value)', 's')}, {r('exp(-value / 100)', 'e')}, {r('abs(value - 50)', 'a')}, round_even(value, 1) AS h, {r('greatest(least(value, 90), 10)', 'clip')}, {r('power(value, 1.5)', 'p', 4)}, sign(value - 50) AS sg FROM events".replace("sign(value - 50) AS sg", "CAST(sign(value - 50) AS DOUBLE) AS sg"))
 def math_functions(spark, d):
     v = F.col("value")
-    df = table(spark, d, "events").select("event_id", sc.ln(v).alias("l"), F.sqrt(v).alias("s"), F.exp(-v / 100).alias("e"), F.abs(v - 50).alias("a"), sc.half_even(v, 1).alias("h"), F.greatest(F.least(v, F.lit(90.0)), F.lit(10.0)).alias("clip"), F.round(F.pow(v, F.lit(1.5)), 4).alias("p"), F.signum(v - 50).alias("sg"))
-    return rounded(df)
+    six = {"l": sc.ln(v), "s": F.sqrt(v), "e": F.exp(-v / 100), "a": F.abs(v - 50), "clip": F.greatest(F.least(v, F.lit(90.0)), F.lit(10.0))}
+    found = {c: sc.half_up(x, PLACES) + F.lit(0.0) for c, x in six.items()} | {"h": sc.half_even(v, 1), "p": sc.half_up(F.pow(v, F.lit(1.5)), 4) + F.lit(0.0), "sg": sc.sign(v - 50)}
+    return table(spark, d, "events").select("event_id", *(found[c].alias(c) for c in ("l", "s", "e", "a", "h", "clip", "p", "sg")))
 
 
 @query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN NULL ELSE value END AS finite, coalesce(nullif(user_id % 4, 0), -1) AS filled, CASE WHEN user_id % 4 = 0 THEN NULL ELSE CAST(user_id % 4 AS DOUBLE) END AS znull, try_cast(CASE WHEN user_id % 2 = 0 THEN 'x' ELSE CAST(user_id AS VARCHAR) END AS BIGINT) AS number FROM events")

@@ -61,3 +61,15 @@ def test_entry_has_rows(spark):
 
 def test_every_sql_has_a_query():
     assert not set(SQL) - set(QUERIES)
+
+
+def test_math_functions_round_as_sql_at_ties_and_extremes(spark, tmp_path):
+    values = [65.1414155, 32.4766255, 12.0000005, 115.1234565, 1234567.8900005, 0.05, 0.15, 0.25, 50.0, 0.0, -0.25, 4.53917591984304e46, 1.7e308, 5e-324, math.nan, math.inf, None]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, value DOUBLE)")
+    con.executemany("INSERT INTO events VALUES (?, ?)", list(enumerate(values)))
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    columns = "event_id, l, s, e, a, h, clip, sg"  # powers have other last digits in other libraries
+    expected = con.sql(f"SELECT {columns} FROM ({SQL['math_functions']}) ORDER BY event_id").fetchall()
+    got = QUERIES["math_functions"](spark, str(tmp_path)).orderBy("event_id").select(*columns.split(", ")).collect()
+    assert [repr(tuple(g)) for g in got] == [repr(e) for e in expected]
