@@ -298,3 +298,23 @@ def test_wide_simhashes_of_similar_sets_are_near():
             a, b = (np.concatenate((both, rng.integers(0, 1 << 63, size // 9, dtype=np.uint64))) for _ in range(2))
             bits.append(int(np.bitwise_count((near_copies.wide_simhash(a) ^ near_copies.wide_simhash(b)).view(np.uint64)).sum()))
         assert max(bits) <= near_copies.FAR
+
+
+def test_simhash_ring_finds_near_copies_itself(spark):
+    """The SimHash part alone, without MinHash, against known pairs at a similarity of 0.8 to 0.9, and nothing that is far."""
+    from fathom.llm import near_copies
+
+    rng = np.random.default_rng(11)
+    rows, pairs = [], []
+    for i in range(120):
+        words = [f"w{i}x{j}" for j in rng.integers(0, 10_000, 240)]
+        cut = int(rng.integers(8, 22))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:100], *(f"n{i}x{j}" for j in range(cut)), *words[100 + cut :]]))]
+        a, b = (near_copies.shingle_set(t, 5) for _, t in rows[-2:])
+        both = len(np.intersect1d(a, b))
+        assert 0.8 <= both / (len(a) + len(b) - both) < 0.92
+        pairs.append(tuple(sorted((near_copies.set_node(a), near_copies.set_node(b)))))
+    nodes = near_copies.written(near_copies.sketches(spark.createDataFrame(rows, "id long, text string"), 5).select("node", "size", "print"), "nodes")
+    found = {(r["a"], r["b"]) for r in near_copies.ring_pairs(nodes, 0.8).collect()}
+    assert found <= set(pairs) and len(found) >= 0.9 * len(pairs)
+    assert [near_copies.key_bits(n) for n in (0, 200_000, 15_000_000, 1 << 40)] == [24, 24, 30, 32]
