@@ -42,7 +42,7 @@ def time_slots(spark, d):
 def math_functions(spark, d):
     v = F.col("value")
     six = {"l": sc.ln(v), "s": F.sqrt(v), "e": F.exp(-v / 100), "a": F.abs(v - 50), "clip": F.greatest(F.least(v, F.lit(90.0)), F.lit(10.0))}
-    found = {c: sc.half_up(x, PLACES) + F.lit(0.0) for c, x in six.items()} | {"h": sc.half_even(v, 1), "p": sc.half_up(F.pow(v, F.lit(1.5)), 4) + F.lit(0.0), "sg": sc.sign(v - 50)}
+    found = {c: sc.half_up(x, PLACES) + F.lit(0.0) for c, x in six.items()} | {"h": sc.half_even(v, 1), "p": sc.half_up(sc.three_halves(v), 4) + F.lit(0.0), "sg": sc.sign(v - 50)}
     return table(spark, d, "events").select("event_id", *(found[c].alias(c) for c in ("l", "s", "e", "a", "h", "clip", "p", "sg")))
 
 

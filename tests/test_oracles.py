@@ -73,3 +73,14 @@ def test_math_functions_round_as_sql_at_ties_and_extremes(spark, tmp_path):
     expected = con.sql(f"SELECT {columns} FROM ({SQL['math_functions']}) ORDER BY event_id").fetchall()
     got = QUERIES["math_functions"](spark, str(tmp_path)).orderBy("event_id").select(*columns.split(", ")).collect()
     assert [repr(tuple(g)) for g in got] == [repr(e) for e in expected]
+
+
+def test_math_functions_powers_as_sql(spark, tmp_path):
+    values = [134133.38, 146287.02, 369838.41, 488878.94, 560.21, 0.01, 0.0, -1.0, 1e-200, 1e160, math.inf, math.nan, None]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, value DOUBLE)")
+    con.executemany("INSERT INTO events VALUES (?, ?)", list(enumerate(values)))
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    expected = con.sql(f"SELECT event_id, p FROM ({SQL['math_functions']}) ORDER BY event_id").fetchall()
+    got = QUERIES["math_functions"](spark, str(tmp_path)).orderBy("event_id").select("event_id", "p").collect()
+    assert [repr(tuple(g)) for g in got] == [repr(e) for e in expected]
